@@ -1,0 +1,2 @@
+"""Empty on purpose: every report here is a daily or weekly batch, so there is
+no streaming operator to express."""
