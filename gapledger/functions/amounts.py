@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A decimal number, optionally with single underscores between digits and an
 # exponent; surrounding white space is allowed.
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 _NUMBER = rf"(?U)^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
-_LAST_COMMA = r",([^,]*)$"
+
+# A comma followed by one or two numeric characters only.
+_SHORT_TAIL = r",([^,0-9.]*(?:[0-9.][^,0-9.]*){1,2})$"
+# A comma, and further on a last one with no numeric character after it.
+_THEN_TRAILING = r",([^,]*),([^,0-9.]*)$"
+_TRAILING = r",([^,0-9.]*)$"
 
 
 def parse_number(text: Column) -> Column:
     """Number as double; anything that is not wholly a number gives null."""
-    return F.when(text.rlike(_NUMBER), F.regexp_replace(text, r"(?U)[_\s]", "").try_cast("double"))
+    number = F.regexp_extract(text, _NUMBER, 0)
+    return F.regexp_replace(number, r"(?U)[_\s]", "").try_cast("double")
 
 
 def round_one(value: Column) -> Column:
     """One decimal place, ties to even on the exact binary value.
 
     ``round`` and ``bround`` work on the shortest decimal text instead, so
-    0.25 and 0.35 come out differently there.
+    0.25 and 0.35 come out differently there. An infinite value gives null.
     """
     return F.call_function("format_number", value, F.lit("0.0")).try_cast("double")
 
@@ -34,39 +40,47 @@ def amount_tail(title: Column) -> Column:
 def repair_commas(token: Column) -> Column:
     """Commas that cannot be thousands separators.
 
-    A comma with no numeric character after it is dropped. Then, if the last
-    comma of the original token had fewer than three numeric characters after
-    it, the last comma still there becomes a decimal point; so ``1,5`` reads
-    1.5 and ``1,234,`` reads 1.234.
+    One with one or two numeric characters after it is a decimal point (``1,5``
+    reads 1.5). One with none is dropped, and the comma before it becomes the
+    decimal point (``1,234,`` reads 1.234). At most one pattern applies.
     """
-    trailing = token.rlike(r",[^,0-9.]*$")
-    short_tail = token.rlike(r",(?:[^,0-9.]*[0-9.]){0,2}[^,0-9.]*$")
-    dropped = F.when(trailing, F.regexp_replace(token, _LAST_COMMA, "$1")).otherwise(token)
-    return F.when(short_tail, F.regexp_replace(dropped, _LAST_COMMA, ".$1")).otherwise(token)
+    pointed = F.regexp_replace(token, _SHORT_TAIL, ".$1")
+    return F.regexp_replace(F.regexp_replace(pointed, _THEN_TRAILING, ".$1$2"), _TRAILING, "$1")
 
 
-def amount_in_millions(title: Column) -> Column:
-    """Requested amount in millions.
+def with_amount(df: DataFrame, text: str, amount: str) -> DataFrame:
+    """Add the requested amount in millions, read from a title column.
 
     A unit inside the amount's own token decides. Without one, the number is
     read as plain currency, and a unit anywhere later in the title rescales it.
+    Each step is a column of its own, so that nothing is computed twice.
     """
-    tail = amount_tail(title)
-    token = repair_commas(F.translate(F.split_part(tail, F.lit(" "), F.lit(1)), ")$", ""))
-
-    millions = parse_number(F.translate(token, "M", ""))
-    thousands = parse_number(F.translate(token, "Kk", "")) / 1000
-    plain = parse_number(F.translate(token, ",", "")) / 1000000
-    plain = (
-        F.when((plain < 10000) & F.contains(tail, F.lit("M")), plain * 1000000)
-        .when((plain < 10000) & tail.rlike("[kK]"), plain * 1000)
+    tail, token, number, plain = (F.col(c) for c in ("_tail", "_token", "_number", "_plain"))
+    in_millions, in_thousands = F.contains(token, F.lit("M")), token.rlike("[kK]")
+    digits = (
+        F.when(in_millions, F.translate(token, "M", ""))
+        .when(in_thousands, F.translate(token, "Kk", ""))
+        .otherwise(F.translate(token, ",", ""))
+    )
+    rescaled = (
+        F.when(F.contains(tail, F.lit("M")), plain * 1000000)
+        .when(tail.rlike("[kK]"), plain * 1000)
         .otherwise(plain)
     )
-    return round_one(
-        F.when(F.contains(token, F.lit("M")), millions)
-        .when(token.rlike("[kK]"), thousands)
+    scaled = (
+        F.when(in_millions, number)
+        .when(in_thousands, number / 1000)
+        .when(plain < 10000, rescaled)
         .otherwise(plain)
     )
+    return (
+        df.withColumn("_tail", amount_tail(F.col(text)))
+        .withColumn("_token", repair_commas(F.translate(F.split_part(tail, F.lit(" "), F.lit(1)), ")$", "")))
+        .withColumn("_number", parse_number(digits))
+        .withColumn("_plain", number / 1000000)
+        .withColumn(amount, round_one(scaled))
+        .drop("_tail", "_token", "_number", "_plain")
+    )
 
 
 def amount_changed(new: Column, previous: Column) -> Column:

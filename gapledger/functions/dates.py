@@ -37,9 +37,9 @@ def business_days_since(day: Column, as_of: dt.date, week_start: str = "monday")
 
 
 def needed_by_utc(text: Column) -> Column:
-    """``MM-dd-yyyy HH:mm:ss`` in UTC as a zone-less timestamp, null if malformed."""
-    iso = F.regexp_replace(text, _US_DATE_TIME, "$3-$1-$2 $4")
-    return F.when(text.rlike(_US_DATE_TIME), iso.try_cast("timestamp_ntz"))
+    """``MM-dd-yyyy HH:mm:ss`` in UTC as a zone-less timestamp. ISO text is taken
+    as it stands; anything else gives null."""
+    return F.regexp_replace(text, _US_DATE_TIME, "$3-$1-$2 $4").try_cast("timestamp_ntz")
 
 
 def local_date(utc: Column, zone: str) -> Column:
@@ -73,12 +73,14 @@ def plan_years(text: Column, as_of: dt.date) -> Column:
     Three spellings are tried in turn and the first that finds anything wins:
     the year between blanks, before a blank, before an underscore.
     """
-    years = range(as_of.year - 2, as_of.year + 5)
+    any_year = "|".join(str(year) for year in range(as_of.year - 2, as_of.year + 5))
+    spellings = (f"(?<= )(?:{any_year})(?= )", f"(?:{any_year})(?= )", f"(?:{any_year})(?=_)")
 
     def found(spelling: str) -> Column:
-        listed = F.concat_ws(", ", *[
-            F.when(F.contains(text, F.lit(spelling.format(year))), str(year)) for year in years
-        ])
-        return F.nullif(listed, F.lit(""))
+        return F.regexp_extract_all(text, F.lit(spelling), F.lit(0))
 
-    return F.coalesce(found(" {} "), found("{} "), found("{}_"), F.lit(""))
+    first, second, third = spellings
+    years = (
+        F.when(text.rlike(first), found(first)).when(text.rlike(second), found(second)).otherwise(found(third))
+    )
+    return F.array_join(F.sort_array(F.array_distinct(years)), ", ")

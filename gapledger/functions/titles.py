@@ -6,8 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gapledger.config import ApprovalRules
-from gapledger.functions.amounts import amount_in_millions
-from gapledger.functions.dates import plan_years
 
 
 def clean_title(title: Column) -> Column:
@@ -28,68 +26,44 @@ def keyword_tags(title: Column, keywords: tuple[str, ...], separator: str) -> Co
     return F.concat_ws(separator, *[F.when(F.contains(title, F.lit(k)), k) for k in keywords])
 
 
-def request_type(title: Column) -> Column:
+def request_type(title: Column, lowered: Column) -> Column:
     """Start-up, real estate, both, or initiative; null when none is named.
-    Construction counts as real estate."""
-    lowered = F.lower(title)
+    Construction counts as real estate. ``lowered`` is the title in lower case."""
 
     def mentions(word: str, code: str | None = None) -> Column:
         found = F.contains(lowered, F.lit(word))
         return found | F.contains(title, F.lit(f" {code} ")) if code else found
 
-    startup = mentions("startup", "SU")
-    real_estate = mentions("real estate", "RE")
+    startup, real_estate = mentions("startup", "SU"), mentions("real estate", "RE")
     return (
-        F.when(startup & real_estate, "RE & SU")
-        .when(startup, "SU")
+        F.when(startup, F.when(real_estate, "RE & SU").otherwise("SU"))
         .when(real_estate | mentions("construction", "CN"), "RE")
         .when(mentions("initiative"), "Initiative")
     )
 
 
 def _lookup(key: Column, table: dict) -> Column:
-    """Small constant lookup, null when absent. One arm per value, so that it
-    compiles to plain comparisons."""
-    keys_by_value: dict = {}
-    for k, v in table.items():
-        keys_by_value.setdefault(v, []).append(k)
-    chain = None
-    for value, keys in keys_by_value.items():
-        chain = F.when(key.isin(keys), value) if chain is None else chain.when(key.isin(keys), value)
-    return F.lit(None).cast("string") if chain is None else chain
+    """Constant lookup, null when absent; folds into one map literal."""
+    if not table:
+        return F.lit(None)
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
 
 
 def region(title: Column, template_id: Column, rules: ApprovalRules) -> Column:
     """Region by template, else by the first two characters from the first
     letter on; folded into report regions, 'Check' when unknown."""
+
+    def reported(raw: str) -> str:
+        folded = rules.region_fold.get(raw, raw)
+        return folded if folded in rules.region_rank else "Check"
+
+    by_template = {template: reported(raw) for template, raw in rules.region_of_template.items()}
+    by_prefix = {raw: reported(raw) for raw in (*rules.region_rank, *rules.region_fold)}
     # Letters as a case-blind A-Z match sees them, with the four non-ASCII
     # characters that fold to ASCII letters.
     prefix = F.regexp_extract(title, "(?s)[A-Za-z\u0130\u0131\u017F\u212A].?", 0)
-    raw = F.coalesce(_lookup(template_id, rules.region_of_template), prefix)
-    folded = F.coalesce(_lookup(raw, rules.region_fold), raw)
-    return F.when(folded.isin(list(rules.region_rank)), folded).otherwise("Check")
+    return F.coalesce(_lookup(template_id, by_template), _lookup(prefix, by_prefix), F.lit("Check"))
 
 
 def region_rank(region_name: Column, rules: ApprovalRules, fallback: int) -> Column:
     return F.coalesce(_lookup(region_name, rules.region_rank), F.lit(fallback))
-
-
-def title_fact_columns(title: Column, template_id: Column, rules: ApprovalRules) -> dict[str, Column]:
-    """All facts of one title; ``title`` is the raw text."""
-    text = clean_title(title)
-    kind = request_type(text)
-    sites = site_codes(text, rules.site_stems_excluded)
-    buildings = keyword_tags(text, rules.building_types, " ")
-    full_types = keyword_tags(text, rules.request_types, " and ")
-    bulk = F.when(F.contains(F.lower(text), F.lit("bulk")), "Bulk ").otherwise("")
-    return {
-        "region": region(text, template_id, rules),
-        "plan_year": plan_years(text, rules.as_of),
-        "request_type": kind,
-        "amount_mm": amount_in_millions(text),
-        "unrecognized": kind.isNull(),
-        "building_type": buildings,
-        "site": sites,
-        "full_type": full_types,
-        "clean_title": F.concat(bulk, sites, F.lit(" "), buildings, F.lit(" "), full_types),
-    }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gapledger.config import ACTION_COLUMNS, REGION_RANK_FALLBACK, ApprovalRules
 from gapledger.functions import dates, titles
+from gapledger.functions.amounts import with_amount
 from gapledger.operators.columns import renamed, with_default
 from gapledger.operators.grouping import distinct_join, distinct_values, values_not_in
 from gapledger.operators.numbering import number_rows
@@ -141,16 +142,41 @@ def unknown_templates(pending: DataFrame, rules: ApprovalRules) -> DataFrame:
     return values_not_in(awaited_requests(pending, rules), "template_id", rules.known_templates)
 
 
-def title_facts(requests: DataFrame, rules: ApprovalRules) -> DataFrame:
-    """Facts of every titled request beside its other columns."""
-    facts = titles.title_fact_columns(F.col("title"), F.col("template_id"), rules)
-    return requests.filter(F.col("title").isNotNull()).select("*", *[c.alias(n) for n, c in facts.items()])
+def with_sort_facts(requests: DataFrame, rules: ApprovalRules) -> DataFrame:
+    """Titled requests with the clean title text (``original_title``) and the
+    facts the report is sorted by."""
+    text = F.col("original_title")
+    return (
+        requests.filter(F.col("title").isNotNull())
+        .withColumn("original_title", titles.clean_title(F.col("title")))
+        .withColumn("_lowered", F.lower(text))
+        .withColumns({
+            "region": titles.region(text, F.col("template_id"), rules),
+            "plan_year": dates.plan_years(text, rules.as_of),
+            "request_type": titles.request_type(text, F.col("_lowered")),
+        })
+        .drop("_lowered")
+    )
+
+
+def with_other_facts(requests: DataFrame, rules: ApprovalRules) -> DataFrame:
+    """The facts that only show, from the clean title text."""
+    text = F.col("original_title")
+    bulk = F.when(text.rlike("(?i)bulk"), "Bulk ").otherwise("")
+    tagged = with_amount(requests, "original_title", "amount_mm").withColumns({
+        "unrecognized": F.col("request_type").isNull(),
+        "building_type": titles.keyword_tags(text, rules.building_types, " "),
+        "site": titles.site_codes(text, rules.site_stems_excluded),
+        "full_type": titles.keyword_tags(text, rules.request_types, " and "),
+    })
+    return tagged.withColumn(
+        "clean_title", F.concat(bulk, "site", F.lit(" "), "building_type", F.lit(" "), "full_type")
+    )
 
 
-REPORT_COLUMNS = (
-    "row_number", "queue", "region", "plan_year", "request_type", "clean_title", "amount_mm",
-    "need_by", "approval_id", "approval_link", "template_id",
-)
+def title_facts(requests: DataFrame, rules: ApprovalRules) -> DataFrame:
+    """All facts of every titled request beside its other columns."""
+    return with_other_facts(with_sort_facts(requests, rules), rules)
 
 
 def report_order() -> list[Column]:
@@ -162,30 +188,40 @@ def report_order() -> list[Column]:
     ]
 
 
-def report_rows(pending: DataFrame, rules: ApprovalRules) -> DataFrame:
-    """The report before sorting: awaited requests with facts and dates."""
-    facts = title_facts(awaited_requests(pending, rules), rules)
+def _shown(requests: DataFrame, rules: ApprovalRules) -> DataFrame:
+    """Everything the report shows but its number and sort facts."""
     need_by = dates.local_date(F.col("needed_by_utc"), rules.need_by_zone)
-    return facts.select(
-        *REQUEST_KEYS, "queue", "region", "plan_year", "request_type", "clean_title", "amount_mm",
-        "unrecognized", "site", "building_type", "full_type", "needed_by_conflict",
-        dates.display_date(need_by).alias("need_by"),
-        dates.past_due(need_by, rules.as_of_time).alias("past_due"),
-        *[f"mark_{key}" for key in rules.tracked],
-        *[c.alias(n) for n, c in _as_text(list(ACTION_COLUMNS.values())).items()],
-        titles.region_rank(F.col("region"), rules, REGION_RANK_FALLBACK).alias("region_rank"),
-    )
+    shown = with_other_facts(requests, rules).withColumn("_need_by", need_by)
+    return shown.withColumns({
+        "need_by": dates.display_date(F.col("_need_by")),
+        "past_due": dates.past_due(F.col("_need_by"), rules.as_of_time),
+        "approval_link": approval_link(F.col("approval_id"), rules.link_prefix),
+        **_as_text(list(ACTION_COLUMNS.values())),
+    })
+
+
+def _report_columns(rules: ApprovalRules) -> list[str]:
+    return [
+        "queue", "region", "plan_year", "request_type", "clean_title", "amount_mm", "need_by", "approval_id",
+        "approval_link", "template_id", *[f"mark_{key}" for key in rules.tracked], *ACTION_COLUMNS.values(),
+        "site", "building_type", "full_type", "unrecognized", "past_due", "needed_by_conflict", "original_title",
+    ]
+
+
+def unnumbered_report(pending: DataFrame, rules: ApprovalRules) -> DataFrame:
+    """The report without order and numbers, for uses that need neither."""
+    sorted_by = with_sort_facts(awaited_requests(pending, rules), rules)
+    return _shown(sorted_by, rules).select(*_report_columns(rules))
 
 
 def approval_report(pending: DataFrame, rules: ApprovalRules) -> DataFrame:
-    """The numbered report. Write it ordered by ``row_number``."""
-    numbered = number_rows(report_rows(pending, rules), report_order(), "row_number")
-    return numbered.withColumn(
-        "approval_link", approval_link(F.col("approval_id"), rules.link_prefix)
-    ).select(
-        *REPORT_COLUMNS,
-        *[f"mark_{key}" for key in rules.tracked],
-        *ACTION_COLUMNS.values(),
-        "site", "building_type", "full_type", "unrecognized", "past_due", "needed_by_conflict",
-        titles.clean_title(F.col("title")).alias("original_title"),
+    """The numbered report. Write it ordered by ``row_number``.
+
+    Only what the order needs is worked out before the sort, which reads its
+    input twice (once to sample it); the rest follows on the numbered rows.
+    """
+    requests = with_sort_facts(awaited_requests(pending, rules), rules).withColumn(
+        "region_rank", titles.region_rank(F.col("region"), rules, REGION_RANK_FALLBACK)
     )
+    numbered = number_rows(requests, report_order(), "row_number")
+    return _shown(numbered, rules).select("row_number", *_report_columns(rules))

@@ -72,28 +72,32 @@ FROM (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS st,
 """
 
 
+# Title parts, picked by the remainders of the request id.
+_TITLE_PARTS = (
+    ("[EU] ", "NA ", "JP ", "MX ", "12 IN ", "AP ", "EC ", "zz "),
+    (" 2001 ", "_2002_", "FY2003 ", "2000 2001 ", "undated "),
+    ("ABC1 ARS4 ABC1 ", "XYZ9 LMN2 ", "", ""),
+    ("ARS450 ", "IXD TSSL ", "Sort Center ", "", "", ""),
+    (
+        "Startup Supplemental &ndash; ", "Full Real Estate &amp; SU ", "Construction ", "Lease Renewal RE ",
+        "bulk Initiative ", "Initial Full Startup RE ", "Reallocation ",
+    ),
+    (
+        "$5MM", "($1,5M)", "$ 250K", "$1,234,567", "$1,234,", "$1.2.3M", "$1.2.3", "$", "$0.25M", "$750 total K",
+        "$3 M", "no amount",
+    ),
+)
+
+
 def _title_of(k: str) -> str:
-    return f"""
-  CASE WHEN {k} % 29 = 0 THEN NULL ELSE
-  CASE {k} % 8 WHEN 0 THEN '[EU] ' WHEN 1 THEN 'NA ' WHEN 2 THEN 'JP ' WHEN 3 THEN 'MX ' WHEN 4 THEN '12 IN '
-             WHEN 5 THEN 'AP ' WHEN 6 THEN 'EC ' ELSE 'zz ' END
-  || CASE {k} % 5 WHEN 0 THEN ' 2001 ' WHEN 1 THEN '_2002_' WHEN 2 THEN 'FY2003 ' WHEN 3 THEN '2000 2001 '
-                ELSE 'undated ' END
-  || CASE {k} % 4 WHEN 0 THEN 'ABC1 ARS4 ABC1 ' WHEN 1 THEN 'XYZ9 LMN2 ' ELSE '' END
-  || CASE {k} % 6 WHEN 0 THEN 'ARS450 ' WHEN 1 THEN 'IXD TSSL ' WHEN 2 THEN 'Sort Center ' ELSE '' END
-  || CASE {k} % 7 WHEN 0 THEN 'Startup Supplemental &ndash; ' WHEN 1 THEN 'Full Real Estate &amp; SU '
-                WHEN 2 THEN 'Construction ' WHEN 3 THEN 'Lease Renewal RE ' WHEN 4 THEN 'bulk Initiative '
-                WHEN 5 THEN 'Initial Full Startup RE ' ELSE 'Reallocation ' END
-  || CASE {k} % 12 WHEN 0 THEN '$5MM' WHEN 1 THEN '($1,5M)' WHEN 2 THEN '$ 250K' WHEN 3 THEN '$1,234,567'
-                 WHEN 4 THEN '$1,234,' WHEN 5 THEN '$1.2.3M' WHEN 6 THEN '$1.2.3' WHEN 7 THEN '$'
-                 WHEN 8 THEN '$0.25M' WHEN 9 THEN '$750 total K' WHEN 10 THEN '$3 M' ELSE 'no amount' END
-  END"""
+    parts = [
+        f"split_part('{'~'.join(texts)}', '~', CAST({k} % {len(texts)} + 1 AS INTEGER))" for texts in _TITLE_PARTS
+    ]
+    return f"CASE WHEN {k} % 29 <> 0 THEN {' || '.join(parts)} END"
 
 
 def _template_of(k: str) -> str:
-    return (
-        f"CASE {k} % 9 WHEN 0 THEN 7394 WHEN 1 THEN 37508 WHEN 2 THEN 39820 WHEN 3 THEN 39171 ELSE 0 END"
-    )
+    return f"CASE {k} % 9 WHEN 0 THEN 7394 WHEN 1 THEN 37508 WHEN 2 THEN 39820 WHEN 3 THEN 39171 ELSE 0 END"
 
 
 TITLES = f"""

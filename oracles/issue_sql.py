@@ -46,7 +46,7 @@ gaps AS (
            if(totaleffortspent = 0, 'Yes', 'No') AS missing_effort,
            if(rootcauses IS NULL, 'Yes', 'No') AS missing_root_cause,
            if(conversationcount IS NULL, 'Yes', 'No') AS missing_comments,
-           days - 2 * monday_weeks AS business_days
+           CAST(days - 2 * monday_weeks AS INTEGER) AS business_days
     FROM weeks LEFT JOIN fx_team m ON m.alias = assignee
     WHERE assignedfolderid = 'F0' AND status = 'Resolved' AND last_comment_author NOT IN ('robot')
       AND resolved_on > DATE '1996-10-01')
