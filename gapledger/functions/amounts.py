@@ -8,19 +8,17 @@ from pyspark.sql import functions as F
 # A decimal number, optionally with single underscores between digits and an
 # exponent; surrounding white space is allowed.
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
-_NUMBER = rf"(?U)^\s*[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
+_NUMBER = rf"(?U)^\s*([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?)\s*$"
 
-# A comma followed by one or two numeric characters only.
-_SHORT_TAIL = r",([^,0-9.]*(?:[0-9.][^,0-9.]*){1,2})$"
-# A comma, and further on a last one with no numeric character after it.
-_THEN_TRAILING = r",([^,]*),([^,0-9.]*)$"
-_TRAILING = r",([^,0-9.]*)$"
+# Either a comma followed by one or two numeric characters only, or a comma and
+# further on a last one with no numeric character after it.
+_POINT_COMMA = r",(?:([^,0-9.]*(?:[0-9.][^,0-9.]*){1,2})|([^,]*),([^,0-9.]*))$"
+_TRAILING_COMMA = r",([^,0-9.]*)$"
 
 
 def parse_number(text: Column) -> Column:
     """Number as double; anything that is not wholly a number gives null."""
-    number = F.regexp_extract(text, _NUMBER, 0)
-    return F.regexp_replace(number, r"(?U)[_\s]", "").try_cast("double")
+    return F.translate(F.regexp_extract(text, _NUMBER, 1), "_", "").try_cast("double")
 
 
 def round_one(value: Column) -> Column:
@@ -33,8 +31,8 @@ def round_one(value: Column) -> Column:
 
 
 def amount_tail(title: Column) -> Column:
-    """The text from the first non-blank after the first dollar sign, or null."""
-    return F.nullif(F.regexp_extract(title, r"(?s)^[^$]*\$ *([^ ].*)$", 1), F.lit(""))
+    """The text from the first non-blank after the first dollar sign, or ''."""
+    return F.regexp_extract(title, r"(?s)^[^$]*\$ *([^ ].*)$", 1)
 
 
 def repair_commas(token: Column) -> Column:
@@ -42,10 +40,9 @@ def repair_commas(token: Column) -> Column:
 
     One with one or two numeric characters after it is a decimal point (``1,5``
     reads 1.5). One with none is dropped, and the comma before it becomes the
-    decimal point (``1,234,`` reads 1.234). At most one pattern applies.
+    decimal point (``1,234,`` reads 1.234).
     """
-    pointed = F.regexp_replace(token, _SHORT_TAIL, ".$1")
-    return F.regexp_replace(F.regexp_replace(pointed, _THEN_TRAILING, ".$1$2"), _TRAILING, "$1")
+    return F.regexp_replace(F.regexp_replace(token, _POINT_COMMA, ".$1$2$3"), _TRAILING_COMMA, "$1")
 
 
 def with_amount(df: DataFrame, text: str, amount: str) -> DataFrame:
