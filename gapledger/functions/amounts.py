@@ -16,9 +16,15 @@ _POINT_COMMA = r",(?:([^,0-9.]*(?:[0-9.][^,0-9.]*){1,2})|([^,]*),([^,0-9.]*))$"
 _TRAILING_COMMA = r",([^,0-9.]*)$"
 
 
+def _without(text: Column, characters: str) -> Column:
+    for character in characters:
+        text = F.replace(text, F.lit(character), F.lit(""))
+    return text
+
+
 def parse_number(text: Column) -> Column:
     """Number as double; anything that is not wholly a number gives null."""
-    return F.translate(F.regexp_extract(text, _NUMBER, 1), "_", "").try_cast("double")
+    return _without(F.regexp_extract(text, _NUMBER, 1), "_").try_cast("double")
 
 
 def round_one(value: Column) -> Column:
@@ -32,7 +38,8 @@ def round_one(value: Column) -> Column:
 
 def amount_tail(title: Column) -> Column:
     """The text from the first non-blank after the first dollar sign, or ''."""
-    return F.regexp_extract(title, r"(?s)^[^$]*\$ *([^ ].*)$", 1)
+    after = F.ltrim(F.substr(title, F.instr(title, F.lit("$")) + 1))
+    return F.when(F.contains(title, F.lit("$")), after).otherwise("")
 
 
 def repair_commas(token: Column) -> Column:
@@ -42,7 +49,8 @@ def repair_commas(token: Column) -> Column:
     reads 1.5). One with none is dropped, and the comma before it becomes the
     decimal point (``1,234,`` reads 1.234).
     """
-    return F.regexp_replace(F.regexp_replace(token, _POINT_COMMA, ".$1$2$3"), _TRAILING_COMMA, "$1")
+    repaired = F.regexp_replace(F.regexp_replace(token, _POINT_COMMA, ".$1$2$3"), _TRAILING_COMMA, "$1")
+    return F.when(F.contains(token, F.lit(",")), repaired).otherwise(token)
 
 
 def with_amount(df: DataFrame, text: str, amount: str) -> DataFrame:
@@ -55,9 +63,9 @@ def with_amount(df: DataFrame, text: str, amount: str) -> DataFrame:
     tail, token, number, plain = (F.col(c) for c in ("_tail", "_token", "_number", "_plain"))
     in_millions, in_thousands = F.contains(token, F.lit("M")), token.rlike("[kK]")
     digits = (
-        F.when(in_millions, F.translate(token, "M", ""))
+        F.when(in_millions, _without(token, "M"))
         .when(in_thousands, F.translate(token, "Kk", ""))
-        .otherwise(F.translate(token, ",", ""))
+        .otherwise(_without(token, ","))
     )
     rescaled = (
         F.when(F.contains(tail, F.lit("M")), plain * 1000000)
@@ -72,11 +80,12 @@ def with_amount(df: DataFrame, text: str, amount: str) -> DataFrame:
     )
     return (
         df.withColumn("_tail", amount_tail(F.col(text)))
-        .withColumn("_token", repair_commas(F.translate(F.split_part(tail, F.lit(" "), F.lit(1)), ")$", "")))
+        .withColumn("_raw_token", _without(F.substring_index(tail, " ", 1), ")$"))
+        .withColumn("_token", repair_commas(F.col("_raw_token")))
         .withColumn("_number", parse_number(digits))
         .withColumn("_plain", number / 1000000)
         .withColumn(amount, round_one(scaled))
-        .drop("_tail", "_token", "_number", "_plain")
+        .drop("_tail", "_raw_token", "_token", "_number", "_plain")
     )
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DISPLAY_FORMAT = "dd-MMM, yyyy"
-_US_DATE_TIME = r"^(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}:\d{1,2}:\d{1,2})$"
+_LOOSE_DATE_TIME = r"^(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}:\d{1,2}:\d{1,2})$"
 
 
 def text_date(text: Column) -> Column:
@@ -37,9 +37,12 @@ def business_days_since(day: Column, as_of: dt.date, week_start: str = "monday")
 
 
 def needed_by_utc(text: Column) -> Column:
-    """``MM-dd-yyyy HH:mm:ss`` in UTC as a zone-less timestamp. ISO text is taken
-    as it stands; anything else gives null."""
-    return F.regexp_replace(text, _US_DATE_TIME, "$3-$1-$2 $4").try_cast("timestamp_ntz")
+    """``MM-dd-yyyy HH:mm:ss`` in UTC as a zone-less timestamp; anything else gives
+    null. Full-width text is rearranged by position, only shorter text (without
+    leading zeros) by pattern."""
+    by_position = F.concat(F.substr(text, F.lit(7), F.lit(4)), F.lit("-"), F.left(text, F.lit(5)), F.substr(text, F.lit(11)))
+    by_pattern = F.when(text.rlike(_LOOSE_DATE_TIME), F.regexp_replace(text, _LOOSE_DATE_TIME, "$3-$1-$2 $4"))
+    return F.when(F.length(text) == 19, by_position).otherwise(by_pattern).try_cast("timestamp_ntz")
 
 
 def local_date(utc: Column, zone: str) -> Column:
@@ -67,20 +70,23 @@ def data_cut_label(as_of_time: dt.datetime) -> Column:
     return F.date_format(cut, "'Data cut on' yyyy-MM-dd 'at' hh a")
 
 
-def plan_years(text: Column, as_of: dt.date) -> Column:
-    """Plan years named in a text, from two years back to four ahead.
+def with_plan_years(df: DataFrame, text: str, as_of: dt.date, years: str) -> DataFrame:
+    """Add the plan years a text column names, from two years back to four ahead.
 
     Three spellings are tried in turn and the first that finds anything wins:
     the year between blanks, before a blank, before an underscore.
     """
-    any_year = "|".join(str(year) for year in range(as_of.year - 2, as_of.year + 5))
-    spellings = (f"(?<= )(?:{any_year})(?= )", f"(?:{any_year})(?= )", f"(?:{any_year})(?=_)")
-
-    def found(spelling: str) -> Column:
-        return F.regexp_extract_all(text, F.lit(spelling), F.lit(0))
-
-    first, second, third = spellings
-    years = (
-        F.when(text.rlike(first), found(first)).when(text.rlike(second), found(second)).otherwise(found(third))
+    window = range(as_of.year - 2, as_of.year + 5)
+
+    def listed(spelling: str) -> Column:
+        return F.concat_ws(", ", *[
+            F.when(F.contains(F.col(text), F.lit(spelling.format(year))), str(year)) for year in window
+        ])
+
+    spaced, spaced_after = F.col("_spaced"), F.col("_spaced_after")
+    return (
+        df.withColumn("_spaced", listed(" {} "))
+        .withColumn("_spaced_after", F.when(spaced == "", listed("{} ")))
+        .withColumn(years, F.when(spaced != "", spaced).when(spaced_after != "", spaced_after).otherwise(listed("{}_")))
+        .drop("_spaced", "_spaced_after")
     )
-    return F.array_join(F.sort_array(F.array_distinct(years)), ", ")

@@ -10,8 +10,9 @@ from gapledger.config import ApprovalRules
 
 def clean_title(title: Column) -> Column:
     """Decode the two entities that occur, then drop square brackets."""
-    decoded = F.replace(F.replace(title, F.lit("&ndash;"), F.lit("-")), F.lit("&amp;"), F.lit("&"))
-    return F.translate(decoded, "[]", "")
+    for raw, shown in (("&ndash;", "-"), ("&amp;", "&"), ("[", ""), ("]", "")):
+        title = F.replace(title, F.lit(raw), F.lit(shown))
+    return title
 
 
 def site_codes(title: Column, excluded_stems: tuple[str, ...]) -> Column:

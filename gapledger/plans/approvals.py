@@ -146,17 +146,17 @@ def with_sort_facts(requests: DataFrame, rules: ApprovalRules) -> DataFrame:
     """Titled requests with the clean title text (``original_title``) and the
     facts the report is sorted by."""
     text = F.col("original_title")
-    return (
+    titled = (
         requests.filter(F.col("title").isNotNull())
         .withColumn("original_title", titles.clean_title(F.col("title")))
         .withColumn("_lowered", F.lower(text))
         .withColumns({
             "region": titles.region(text, F.col("template_id"), rules),
-            "plan_year": dates.plan_years(text, rules.as_of),
             "request_type": titles.request_type(text, F.col("_lowered")),
         })
         .drop("_lowered")
     )
+    return dates.with_plan_years(titled, "original_title", rules.as_of, "plan_year")
 
 
 def with_other_facts(requests: DataFrame, rules: ApprovalRules) -> DataFrame:

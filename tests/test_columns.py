@@ -99,7 +99,10 @@ def test_plan_years(spark):
         "NA undated x": "", " 2001 FY2003 ": "2001", "FY2003 FY2002 FY2003 ": "2002, 2003", "2001_2002_": "2001, 2002",
         " 1998 2006 ": "", " 2005 1999 ": "1999, 2005", "": "", "20012002 ": "2002",
     }
-    assert evaluate(spark, lambda t: dates.plan_years(t, dt.date(2001, 6, 20)), cases) == list(cases.values())
+    df = spark.createDataFrame(list(cases.items()), "t string, expected string")
+    found = dates.with_plan_years(df, "t", dt.date(2001, 6, 20), "y")
+    assert found.columns == ["t", "expected", "y"]
+    assert {r.t: r.y for r in found.collect()} == cases
 
 
 @pytest.mark.parametrize("template, title, expected", [
@@ -155,8 +158,9 @@ def test_business_days(spark, week_start, first):
 def test_dates_as_text(spark, settings):
     texts = ["2022-10-07", "2022-10-07T10:00:00", "2022-13-07", "", None, "x"]
     assert evaluate(spark, dates.text_date, texts) == [dt.date(2022, 10, 7)] * 2 + [None] * 4
-    needed = ["12-01-2022 05:00:00", "12-01-2022 15:30:00", "07-04-2022 06:59:59", "02-31-2022 00:00:00", "soon", None]
-    shown = ["30-Nov, 2022", "01-Dec, 2022", "03-Jul, 2022", None, None, None]
+    needed = ["12-01-2022 05:00:00", "12-01-2022 15:30:00", "07-04-2022 06:59:59", "02-31-2022 00:00:00", "soon", None,
+              "7-4-2022 7:00:00", "12/01/2022 05:00:00", "2022-12-01 05:00:00", ""]
+    shown = ["30-Nov, 2022", "01-Dec, 2022", "03-Jul, 2022", None, None, None, "04-Jul, 2022", None, None, None]
 
     def display(text):
         return dates.display_date(dates.local_date(dates.needed_by_utc(text), "America/Los_Angeles"))
