@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-NULL_KEY_SPREAD = 1024
-
-
 def lookup_left(facts: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: str, spread_by: str) -> DataFrame:
     """Left equi join of facts to a lookup of unknown size.
 
     No broadcast is forced: Spark broadcasts a lookup that measures small and
-    otherwise shuffles, with adaptive execution splitting hot keys. Facts without
-    a key can never match, yet would all hash to one partition; a second key
-    taken from ``spread_by`` (any well-spread fact column) scatters them.
+    otherwise shuffles, with adaptive execution splitting hot fact keys.
+
+    The join also compares a hash of the key. For facts without key, which can
+    never match yet would all land in one partition, that hash is taken from
+    ``spread_by`` (any well-spread fact column) and scatters them. As a second
+    key it moreover gives both sides a shuffle of their own whatever came before,
+    which adaptive splitting needs.
     """
-    spread = F.when(F.col(fact_key).isNull(), 1 + F.pmod(F.xxhash64(spread_by), F.lit(NULL_KEY_SPREAD)))
-    left = facts.withColumn("_spread", F.coalesce(spread, F.lit(0)))
-    right = lookup.withColumn("_lookup_spread", F.lit(0).cast("bigint"))
+    types = facts.schema[fact_key].dataType, lookup.schema[lookup_key].dataType
+    if types[0] != types[1]:
+        raise TypeError(f"{fact_key} and {lookup_key} hash differently: {types[0]} and {types[1]}")
+    spread = F.when(F.col(fact_key).isNull(), F.xxhash64(spread_by)).otherwise(F.xxhash64(fact_key))
+    left = facts.withColumn("_spread", spread)
+    right = lookup.withColumn("_lookup_spread", F.xxhash64(lookup_key))
     on = (F.col(fact_key) == F.col(lookup_key)) & (F.col("_spread") == F.col("_lookup_spread"))
     return left.join(right, on, "left").drop("_spread", "_lookup_spread")
 

@@ -78,7 +78,8 @@ def sprint_gaps(issues: DataFrame, sprints: DataFrame, rules: IssueRules) -> Dat
 
 def in_kept_folders(gaps: DataFrame, folders: DataFrame, rules: IssueRules, spread_by: str) -> DataFrame:
     """Rows whose folder rolls up to a reported kind or to none at all."""
-    rollups = folders.select(F.col("assignedfolderid").alias("_folder"), "folder_roll_up")
+    # Copies in a lookup would only multiply rows that become distinct later.
+    rollups = folders.select(F.col("assignedfolderid").alias("_folder"), "folder_roll_up").distinct()
     joined = lookup_left(gaps, rollups, "assignedfolderid", "_folder", spread_by)
     kept = F.col("folder_roll_up").isin(list(rules.kept_rollups)) | F.col("folder_roll_up").isNull()
     return joined.filter(kept).drop("_folder", "folder_roll_up")
@@ -126,7 +127,7 @@ def manager_recipients(
     """Managers of the assignees. Only the team's own manager column has to be
     set: somebody who is their own manager and has no senior gives a null row."""
     assignees = _gap_assignees(issues, folders, sprints, rules)
-    members = team.filter(F.col("manager").isNotNull())
+    members = team.filter(F.col("manager").isNotNull()).select("alias", "manager", "sr_manager").distinct()
     responsible = identity.responsible_manager(F.col("alias"), F.col("manager"), F.col("sr_manager"))
     return (
         assignees.join(members, F.col("assignee") == F.col("alias"))
@@ -152,7 +153,8 @@ def resolved_bugs(issues: DataFrame, rules: IssueRules) -> DataFrame:
 
 
 def bug_gap_rows(issues: DataFrame, team: DataFrame, rules: IssueRules) -> DataFrame:
-    """Resolved bugs with any gap: unsorted, one row per issue and team match."""
+    """Resolved bugs with any gap, unsorted: one row per issue and distinct team
+    match."""
     resolved_on = dates.text_date(F.col("resolveddate"))
     measured = resolved_bugs(issues, rules).select(
         "issueurl", "title",
@@ -171,7 +173,7 @@ def bug_gap_rows(issues: DataFrame, team: DataFrame, rules: IssueRules) -> DataF
     responsible = identity.responsible_manager(F.col("alias"), F.col("manager"), F.col("sr_manager"))
     return (
         lookup_left(
-            measured.filter(any_gap), team.select("alias", "manager", "sr_manager"),
+            measured.filter(any_gap), team.select("alias", "manager", "sr_manager").distinct(),
             "assignee", "alias", "issueurl",
         )
         .withColumn("manager_email", identity.address(responsible, rules.mail_domain))

@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from gapledger.functions.amounts import amount_changed
 from gapledger.functions.dates import parse_display_date
-from gapledger.operators.joins import carry_over, first_per_key
+from gapledger.operators.joins import carry_over, first_per_key, lookup_left
 from gapledger.sources.extracts import id_of_link
 
 # The columns people edit by hand, which the previous report wins.
 EDITED = ("region", "plan_year", "request_type", "clean_title", "amount_mm")
 
+# What a previous report has to offer.
+PREVIOUS_SCHEMA = (
+    "approval_link string, region string, plan_year string, request_type string, clean_title string, "
+    "amount_mm double, row_pos bigint"
+)
+
 
 def previous_by_request(previous: DataFrame) -> DataFrame:
     """First row of every request in the previous report, by position. Rows whose
@@ -23,17 +29,19 @@ def previous_by_request(previous: DataFrame) -> DataFrame:
 
 def matched_report(report: DataFrame, previous: DataFrame) -> DataFrame:
     """New report with the previous row's columns as ``prev_*``, unmatched ones
-    null. Both sides hash on the request id; nothing is broadcast by force, as
-    both grow with the data."""
+    null. Nothing is broadcast by force, as both sides grow with the data."""
+    id_type = report.schema["approval_id"].dataType
     first = previous_by_request(previous).select(
-        F.col("approval_id").alias("prev_approval_id"), *[F.col(c).alias(f"prev_{c}") for c in EDITED]
+        F.col("approval_id").cast(id_type).alias("prev_approval_id"), *[F.col(c).alias(f"prev_{c}") for c in EDITED]
     )
-    return report.join(first, F.col("approval_id") == F.col("prev_approval_id"), "left")
+    return lookup_left(report, first, "approval_id", "prev_approval_id", "original_title")
 
 
 def new_entities(report: DataFrame, previous: DataFrame) -> DataFrame:
     """Rows of the new report without a counterpart in the previous one."""
     known = previous.select(id_of_link(F.col("approval_link")).alias("approval_id")).filter("approval_id <> 0")
+    # Made distinct first, so that an id repeated very often costs one row.
+    known = known.distinct()
     return report.join(known, "approval_id", "left_anti")
 
 

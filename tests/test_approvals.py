@@ -132,12 +132,6 @@ def test_unknown_templates(spark):
     assert {r.template_id for r in found} == {0, 5}
 
 
-PREVIOUS_SCHEMA = (
-    "approval_link string, region string, plan_year string, request_type string, clean_title string, "
-    "amount_mm double, row_pos bigint"
-)
-
-
 def link(n: int) -> str:
     return f'=HYPERLINK("https://approvals.example.org/{n}", {n})'
 
@@ -152,7 +146,7 @@ def test_reconcile(spark):
         (link(3), "EU", "2001", "SU", "raised", 4.9, 10),
         ("note", "EU", "2001", "SU", "no id", 1.0, 7),
         (link(77), "EU", "2001", "SU", "gone", 1.0, 11),
-    ], PREVIOUS_SCHEMA)
+    ], rec.PREVIOUS_SCHEMA)
     final = {r.approval_id: r for r in rec.reconcile_report(report, previous).collect()}
     assert len(final) == 5
     one = final[1]

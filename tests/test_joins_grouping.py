@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from gapledger.operators.columns import renamed, with_default
@@ -34,6 +37,16 @@ def test_shuffled_lookup_keeps_every_fact_and_scatters_null_keys(spark, settings
         assert r.v == (None if r.k is None else -1 if r.k == "hot" else int(r.k[1:]))
     nulls = joined.filter("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
     assert len(nulls) == 8 and max(r["count"] for r in nulls) < 20_000 / 4
+    # The optimizer must not take the scattering key away, whatever the lookup is.
+    for right in (lookup(spark), lookup(spark).distinct(), lookup(spark).filter("lk IS NOT NULL")):
+        plan = lookup_left(facts(spark), right, "k", "lk", "id")._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"SortMergeJoin \[k#\d+, _spread#\d+L\]", plan)
+
+
+def test_keys_of_different_types_are_refused(spark):
+    left = spark.createDataFrame([(1, 2)], "id int, k int")
+    with pytest.raises(TypeError):
+        lookup_left(left, spark.createDataFrame([(2,)], "lk bigint"), "k", "lk", "id")
 
 
 def test_hot_key_is_split_by_adaptive_execution(spark, settings):
