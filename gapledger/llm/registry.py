@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapledger.llm import exact_dedup, language_id, packing, token_counts, url_rules
+from gapledger.llm import decontamination, exact_dedup, language_id, near_dedup, packing, token_counts, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,10 +29,19 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_dedup.near_duplicate_classes(_documents(spark, sf_dir))
+    return classes.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     model = language_id.fit_language_model(docs)
@@ -51,6 +60,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return decontamination.contaminated(docs, benchmark(spark, sf_dir)).drop("text")
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_pages(spark, sf_dir), URL_RULES)
 
@@ -61,12 +75,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    import corpus_pipeline
+
     return {
+        "op1_near_dedup": op1_near_dedup,
         "op2_language_id": op2_language_id,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op5_token_counts": op5_token_counts,
+        "op6_decontamination": op6_decontamination,
         "op8_url_rules": op8_url_rules,
         "op10_exact_dedup": op10_exact_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
