@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapledger.session import checkpointed
+from gapledger.llm.staging import staged
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -13,12 +13,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round every node takes the least label next to it and then that label's own
     label, so paths shorten by more than half a round. Labels and links stay in tables;
-    each round is cut off by a checkpoint. A node with any number of links is one
+    each round is written as a table. A node with any number of links is one
     aggregated row; Spark combines its links before the shuffle.
     """
     both = edges.select("a", "b").filter("a <> b")
-    both = checkpointed(both.union(both.select("b", "a")).distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")))
+    both = staged(both.union(both.select("b", "a")).distinct())
+    labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label")))
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("_to"))
         near = near.agg(F.min("label").alias("_near"))
@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         moved = taken.join(above, F.col("_least") == F.col("_above")).select(
             "node", "_was", F.least("_least", "_root").alias("label")
         )
-        moved = checkpointed(moved)
+        moved = staged(moved)
         labels = moved.select("node", "label")
         if moved.filter("label <> _was").isEmpty():
             return labels

@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from gapledger.llm.components import connected_components
 from gapledger.llm.dart_minhash import band_hashes, dart_signatures
 from gapledger.llm.shingles import WordReader, as_set, jaccard, shingles
+from gapledger.llm.staging import staged
 from gapledger.llm.text import free_name
 from gapledger.llm.workers import slices
-from gapledger.session import checkpointed
 
 SIMILARITY = 0.8
 #: 32 bands of 6: of pairs at 0.8, one in 17,000 shares no band.
@@ -120,7 +120,7 @@ def near_duplicate_classes(
         F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
     )
     known = texts.filter("id IS NOT NULL")
-    sketches = checkpointed(_sketches(known, bands, rows))
+    sketches = staged(_sketches(known, bands, rows))
     worded = sketches.filter("total > 0")
     first = worded.groupBy("digest").agg(F.min("id").alias("rep"))
     of = worded.select("id", "digest", "total", "bands").join(first, "digest")
@@ -129,9 +129,9 @@ def near_duplicate_classes(
     keyed = of.filter("id = rep").select(F.col("rep").alias("id"), "total", F.posexplode("bands").alias("band", "hash"))
     buckets = keyed.groupBy("band", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     buckets = buckets.filter("least <> most").select("band", "hash")
-    shared = checkpointed(keyed.join(buckets, ["band", "hash"]))
-    nodes = checkpointed(shared.select("id").distinct())
-    sets = checkpointed(_shingle_sets(known.join(nodes, "id")))
+    shared = staged(keyed.join(buckets, ["band", "hash"]))
+    nodes = staged(shared.select("id").distinct())
+    sets = staged(_shingle_sets(known.join(nodes, "id")))
     labels = nodes.select("id", F.col("id").alias("label"))
     enough = pairs_per_text * nodes.count()
 
@@ -146,7 +146,7 @@ def near_duplicate_classes(
         open_pairs = split.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
         if not open_pairs:
             break
-        held = checkpointed(held.join(split.select("band", "hash"), ["band", "hash"]))
+        held = staged(held.join(split.select("band", "hash"), ["band", "hash"]))
         last = open_pairs <= enough
         if last:
             left = held.select("band", "hash", F.col("id").alias("a"), F.col("total").alias("total_a"), "label")
@@ -162,7 +162,7 @@ def near_duplicate_classes(
                 F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b"),
                 F.col("total").alias("total_a"), F.col("c.total").alias("total_b"),
             )
-        links = checkpointed(_links(pairs, sets, similarity))
+        links = staged(_links(pairs, sets, similarity))
         labels = _merged(labels, links)
         turn += 1
         if last:
@@ -182,7 +182,7 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
         F.col("label_a").alias("a"), F.col("label_b").alias("b")
     )
     joined = connected_components(between).select(F.col("node").alias("label"), F.col("label").alias("_to"))
-    return checkpointed(labels.join(joined, "label", "left").select("id", F.coalesce("_to", "label").alias("label")))
+    return staged(labels.join(joined, "label", "left").select("id", F.coalesce("_to", "label").alias("label")))
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapledger.llm.bpe import load_core, load_tokenizer
+from gapledger.llm.staging import staged
 from gapledger.llm.workers import worker_memo
-from gapledger.session import checkpointed
 
 CAPACITY = 2048
 SHARD_PIECES = 20_000
@@ -143,7 +143,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     ``length`` is 1 to ``capacity``. Rows are told apart by nothing but their place, so
     repeated ones are packed each. An empty table gives an empty one.
     """
-    pieces = checkpointed(pieces)
+    pieces = staged(pieces)
     shards = max(1, -(-pieces.count() // shard_pieces))
     dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(*pieces.columns), F.lit(shards)))
 
