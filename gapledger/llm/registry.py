@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapledger.llm import decontamination, exact_dedup, language_id, near_dedup, packing, token_counts, url_rules
+from gapledger.llm import (
+    decontamination, exact_dedup, language_id, near_dedup, packing, pii, suffix_dedup, token_counts, url_rules, warc,
+)
+from gapledger.llm.staging import staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +57,17 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{staging_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(warc.page_records(_pages(spark, sf_dir)), folder)
+    read = warc.read_archives(spark, folder, with_payload=False).filter("quarantined IS NULL")
+    page_of = lambda c: F.regexp_extract(c, r"^<urn:page:(-?[0-9]*)>$", 1).try_cast("long")
+    return read.select(
+        page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     docs = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
@@ -65,10 +80,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(docs, benchmark(spark, sf_dir)).drop("text")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_strings(_documents(spark, sf_dir), keep_first=False).drop("spans")
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_pages(spark, sf_dir), URL_RULES)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(pii.find_personal_data(_documents(spark, sf_dir)))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return exact_dedup.exact_duplicates(docs).drop("text")
@@ -81,14 +104,30 @@ def queries() -> dict[str, Query]:
         "op1_near_dedup": op1_near_dedup,
         "op2_language_id": op2_language_id,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_warc": op4_warc,
         "op5_token_counts": op5_token_counts,
         "op6_decontamination": op6_decontamination,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_url_rules": op8_url_rules,
+        "op9_pii": op9_pii,
         "op10_exact_dedup": op10_exact_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
 
+_OP4_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), f AS (
+    SELECT payload, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload
+)
+SELECT p.page_id, p.payload_bytes, sha1(p.payload) AS payload_digest,
+    CASE WHEN f.payload IS NOT NULL AND p.page_id IS DISTINCT FROM f.first THEN 'revisit' ELSE 'response' END
+        AS record_type,
+    CASE WHEN f.payload IS NOT NULL AND p.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.payload = f.payload
+"""
+
 _OP8_SQL = """
 WITH u AS (
     SELECT page_id,
@@ -125,4 +164,4 @@ FROM d JOIN g ON d.t = g.t
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_rules": _OP8_SQL, "op10_exact_dedup": _OP10_SQL}
+    return {"op4_warc": _OP4_SQL, "op8_url_rules": _OP8_SQL, "op10_exact_dedup": _OP10_SQL}
