@@ -5,9 +5,9 @@ signature over its weighted five-word shingles; signatures are cut into bands, a
 texts that share a band's hash share a bucket. A bucket is not expanded into pairs at
 once: its members are compared with one centre, links are closed into components, and
 what remains are pairs of a bucket's members in different components. Rounds with
-other centres go on while those are many; then all of them are compared. So every
-pair that shares a bucket is either compared or already in one class, and no
-comparison is left out.
+other centres go on while those are many and get fewer; then all of them are
+compared. So every pair that shares a bucket is either compared or already in one
+class, and no comparison is left out.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ from gapledger.llm.workers import slices
 SIMILARITY = 0.8
 #: 32 bands of 6: of pairs at 0.8, one in 17,000 shares no band.
 BANDS, ROWS = 32, 6
-#: All remaining pairs are compared once they are at most so many per text in a bucket.
-PAIRS_PER_TEXT = 4
+#: All remaining pairs are compared once they are at most so many per text, or once a round
+#: with other centres leaves more than this share of them.
+PAIRS_PER_TEXT, STALLED = 1, 0.75
 _SLICE = 1_000_000
 
 
@@ -133,9 +134,9 @@ def near_duplicate_classes(
     nodes = staged(shared.select("id").distinct())
     sets = staged(_shingle_sets(known.join(nodes, "id")))
     labels = nodes.select("id", F.col("id").alias("label"))
-    enough = pairs_per_text * nodes.count()
+    enough = pairs_per_text * sketches.count()
 
-    turn = 0
+    turn, before = 0, 0
     while True:
         held = shared if not turn else shared.join(labels, "id")
         held = held.withColumn("label", F.col("id")) if not turn else held
@@ -147,7 +148,8 @@ def near_duplicate_classes(
         if not open_pairs:
             break
         held = staged(held.join(split.select("band", "hash"), ["band", "hash"]))
-        last = open_pairs <= enough
+        last = open_pairs <= enough or (turn > 0 and open_pairs > STALLED * before)
+        before = open_pairs
         if last:
             left = held.select("band", "hash", F.col("id").alias("a"), F.col("total").alias("total_a"), "label")
             right = held.select(
