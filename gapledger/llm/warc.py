@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gapledger.llm.staging import staged
+
 RECORDS_PER_FILE = 1000
 MIN_REVISIT_BYTES = 1000
 _VERSION, _MEMBER, _END = b"WARC/1.", b"\x1f\x8b\x08", b"\r\n\r\n"
@@ -52,7 +54,11 @@ def page_records(
         F.coalesce(F.col(payload_column).cast("string"), F.lit("")).alias("payload"),
     ).withColumns({"digest": F.sha1(F.col("payload").cast("binary")), "bytes": F.octet_length("payload")})
     large = rows.filter(F.col("bytes") >= min_revisit_bytes)
-    first = large.groupBy(F.col("digest").alias("of"), F.col("bytes").alias("of_bytes")).agg(F.max("id").alias("first"))
+    first = large.groupBy(F.col("digest").alias("of"), F.col("bytes").alias("of_bytes")).agg(
+        F.max("id").alias("first"), F.count(F.lit(1)).alias("rows")
+    )
+    # Written first, so that its size is known before payloads move: Spark broadcasts it if small.
+    first = staged(first.filter("rows > 1").drop("rows"))
     # Payloads too small for revisits, and null ones, keep no key and so meet no other row.
     key = F.when(F.col("bytes") >= min_revisit_bytes, F.col("digest"))
     rows = rows.join(first, (key == F.col("of")) & (F.col("bytes") == F.col("of_bytes")), "left")
