@@ -23,8 +23,9 @@ def _without(text: Column, characters: str) -> Column:
 
 
 def parse_number(text: Column) -> Column:
-    """Number as double; anything that is not wholly a number gives null."""
-    return _without(F.regexp_extract(text, _NUMBER, 1), "_").try_cast("double")
+    """Number as double; anything that is not wholly a number gives null. The empty text,
+    which titles without a dollar sign come down to, skips the pattern."""
+    return F.when(text != "", _without(F.regexp_extract(text, _NUMBER, 1), "_").try_cast("double"))
 
 
 def round_one(value: Column) -> Column:

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DISPLAY_FORMAT = "dd-MMM, yyyy"
-_LOOSE_DATE_TIME = r"^(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}:\d{1,2}:\d{1,2})$"
+_DATE_TIME = r"^(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}:\d{1,2}:\d{1,2})\z"
+_DATE_FIRST = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 
 def text_date(text: Column) -> Column:
-    """Date out of the first ten characters; null when they are no date."""
-    return F.left(text, F.lit(10)).try_cast("date")
+    """Date out of the first ten characters, whatever follows them; null unless they are
+    a whole ``yyyy-MM-dd``. The text of an earlier date thus sorts before a later one's."""
+    return F.when(text.rlike(_DATE_FIRST), F.left(text, F.lit(10)).try_cast("date"))
 
 
 def days_since(day: Column, as_of: dt.date) -> Column:
@@ -37,12 +39,10 @@ def business_days_since(day: Column, as_of: dt.date, week_start: str = "monday")
 
 
 def needed_by_utc(text: Column) -> Column:
-    """``MM-dd-yyyy HH:mm:ss`` in UTC as a zone-less timestamp; anything else gives
-    null. Full-width text is rearranged by position, only shorter text (without
-    leading zeros) by pattern."""
-    by_position = F.concat(F.substr(text, F.lit(7), F.lit(4)), F.lit("-"), F.left(text, F.lit(5)), F.substr(text, F.lit(11)))
-    by_pattern = F.when(text.rlike(_LOOSE_DATE_TIME), F.regexp_replace(text, _LOOSE_DATE_TIME, "$3-$1-$2 $4"))
-    return F.when(F.length(text) == 19, by_position).otherwise(by_pattern).try_cast("timestamp_ntz")
+    """``MM-dd-yyyy HH:mm:ss`` in UTC, leading zeros optional, as a zone-less timestamp;
+    anything else gives null."""
+    rearranged = F.regexp_replace(text, _DATE_TIME, "$3-$1-$2 $4")
+    return F.when(text.rlike(_DATE_TIME), rearranged).try_cast("timestamp_ntz")
 
 
 def local_date(utc: Column, zone: str) -> Column:

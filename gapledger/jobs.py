@@ -8,30 +8,34 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gapledger.config import ApprovalRules, IssueRules
+from gapledger.functions.dates import data_cut_label
 from gapledger.plans import approvals, issues, reconcile
-from gapledger.session import checkpointed
 from gapledger.sources.snapshots import latest_snapshot, write_snapshot
+from gapledger.staging import discarding, staged
 
 
 def run_issue_digest(issue_table: DataFrame, team: DataFrame, rules: IssueRules, folder: str) -> dict[str, str]:
     """Write gaps, recipient lists, cell flags, digest pages and run status.
 
-    All outputs share the gap rows, which are therefore worked out once.
+    All outputs share the gap rows, which are therefore worked out once. What is staged
+    for them goes when they are written.
     """
-    gaps = checkpointed(issues.bug_gap_rows(issue_table, team, rules).distinct())
-    outputs = {
-        "gaps": gaps.orderBy(*issues.report_order()),
-        "to_list": issues.bug_gap_to_list(gaps, rules),
-        "cc_list": issues.bug_gap_cc_list(gaps, rules),
-        "cell_flags": issues.bug_gap_cell_flags(gaps, rules),
-        "digest": issues.bug_gap_digest(gaps, rules),
-        "status": issues.bug_gap_run_status(gaps, rules),
-    }
-    paths = {name: f"{folder}/{name}" for name in outputs}
-    for name, df in outputs.items():
-        write_snapshot(df, paths[name], rules.as_of)
+    with discarding(issue_table.sparkSession):
+        gaps = staged(issues.bug_gap_rows(issue_table, team, rules))
+        outputs = {
+            "gaps": gaps.orderBy(*issues.report_order()),
+            "to_list": issues.bug_gap_to_list(gaps, rules),
+            "cc_list": issues.bug_gap_cc_list(gaps, rules),
+            "cell_flags": issues.bug_gap_cell_flags(gaps, rules),
+            "digest": issues.bug_gap_digest(gaps, rules),
+            "status": issues.bug_gap_run_status(gaps, rules),
+        }
+        paths = {name: f"{folder}/{name}" for name in outputs}
+        for name, df in outputs.items():
+            write_snapshot(df, paths[name], rules.as_of)
     return paths
 
 
@@ -47,18 +51,33 @@ def _stored_report(spark: SparkSession, store: str, rules: ApprovalRules) -> Dat
 
 
 def run_approval_report(
-    extract: DataFrame, rules: ApprovalRules, store: str, previous: DataFrame | None = None
-) -> str:
-    """Write the reconciled report of ``rules.as_of`` into the store.
+    extract: DataFrame,
+    rules: ApprovalRules,
+    folder: str,
+    previous: DataFrame | None = None,
+    template: str | None = None,
+    names: dict[str, str] | None = None,
+) -> dict[str, str]:
+    """Write the reconciled report of ``rules.as_of``, the templates not known yet and
+    the data-cut label.
 
     ``previous`` is the last report as edited by hand (with ``row_pos``); without
-    it the store's latest earlier run stands in.
+    it the folder's latest earlier run stands in. ``template`` and ``names`` are those
+    of ``pending_approvals``.
     """
     spark = extract.sparkSession
-    report = approvals.approval_report(approvals.pending_approvals(extract, rules), rules)
+    paths = {name: f"{folder}/{name}" for name in ("report", "unknown_templates", "data_cut")}
+    pending = approvals.pending_approvals(extract, rules, template, names)
     if previous is None:
-        previous = _stored_report(spark, store, rules)
+        previous = _stored_report(spark, paths["report"], rules)
     if previous is None:
         previous = spark.createDataFrame([], reconcile.PREVIOUS_SCHEMA)
-    write_snapshot(reconcile.reconcile_report(report, previous), store, rules.as_of, "row_number")
-    return store
+    with discarding(spark):
+        report = approvals.approval_report(pending, rules)
+        write_snapshot(reconcile.reconcile_report(report, previous), paths["report"], rules.as_of, "row_number")
+    write_snapshot(approvals.unknown_templates(pending, rules), paths["unknown_templates"], rules.as_of)
+    cut = pending.agg(F.count(F.lit(1)).alias("row_count"))
+    write_snapshot(
+        cut.select(data_cut_label(rules.as_of_time).alias("label"), "row_count"), paths["data_cut"], rules.as_of
+    )
+    return paths

@@ -60,11 +60,11 @@ def digest_pages(
     page_rows: int,
     link: str = "issueurl",
 ) -> DataFrame:
-    """(recipient, page, rows, html): every row of every recipient, in order,
-    ``page_rows`` to a page, so that no fragment grows with the data."""
+    """(recipient, page, row_count, html): every row, in order, ``page_rows`` to a
+    page, so that no fragment grows with the data. Rows without a recipient get pages
+    of their own, with a null recipient."""
     header = "<tr>" + "".join(f"<th>{h}</th>" for h in DIGEST_COLUMNS.values()) + "</tr>"
-    fragments = rows.filter(F.col(recipient).isNotNull())
-    numbered = number_rows(fragments, order_by, "_number", [recipient])
+    numbered = number_rows(rows, order_by, "_number", [recipient])
     page = (F.floor((F.col("_number") - 1) / page_rows) + 1).cast("bigint").alias("page")
     # Sorting (number, fragment) pairs keeps the order inside a page.
     body = F.array_sort(F.collect_list(F.struct("_number", "_row")))

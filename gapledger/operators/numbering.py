@@ -2,7 +2,7 @@
 
 ``row_number() over (order by ...)`` moves all rows, or all rows of a hot group,
 into one task. Here the rows are range-sorted, which spreads even one hot group
-over many partitions; the sorted rows are checkpointed, so that partition ids and
+over many partitions; the sorted rows are staged as a table, so that partition ids and
 positions are fixed; and a table with one row per (partition, group) supplies
 what has to be added to each partition's own positions.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapledger.session import checkpointed
+from gapledger.staging import staged
 
 # monotonically_increasing_id keeps the position in the low 33 bits and the
 # partition above them.
@@ -29,10 +29,11 @@ def number_rows(
     when ``group_by`` is given.
 
     The order has to be total (end it in a unique key), or equal rows may swap
-    numbers between runs.
+    numbers between runs. Numbering is an action: the sorted rows are written to the
+    staging folder while the plan is built, so pass only columns that are needed after it.
     """
     groups = list(group_by or [])
-    placed = checkpointed(
+    placed = staged(
         df.orderBy(*[F.col(g).asc_nulls_first() for g in groups], *order_by)
         .withColumn("_place", F.monotonically_increasing_id())
     )

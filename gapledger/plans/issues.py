@@ -142,19 +142,24 @@ def manager_recipients(
 
 def resolved_bugs(issues: DataFrame, rules: IssueRules) -> DataFrame:
     """Bugs resolved by people after the cut-off. A null last author is dropped
-    like the bot."""
+    like the bot.
+
+    The test on the raw text keeps all that the test on the date keeps, as such texts
+    begin with the date; unlike the latter it reaches the scan.
+    """
     resolved_on = dates.text_date(F.col("resolveddate"))
     return issues.filter(
         (F.col("assignedfolderid") == rules.bug_folder)
         & (F.col("status") == rules.resolved_status)
         & (F.col("last_comment_author") != rules.bot_author)
+        & (F.col("resolveddate") > rules.cutoff.isoformat())
         & (resolved_on > F.lit(rules.cutoff))
     )
 
 
 def bug_gap_rows(issues: DataFrame, team: DataFrame, rules: IssueRules) -> DataFrame:
-    """Resolved bugs with any gap, unsorted: one row per issue and distinct team
-    match."""
+    """Resolved bugs with any gap, unsorted: distinct rows, one per issue and distinct
+    team match."""
     resolved_on = dates.text_date(F.col("resolveddate"))
     measured = resolved_bugs(issues, rules).select(
         "issueurl", "title",
@@ -173,11 +178,12 @@ def bug_gap_rows(issues: DataFrame, team: DataFrame, rules: IssueRules) -> DataF
     responsible = identity.responsible_manager(F.col("alias"), F.col("manager"), F.col("sr_manager"))
     return (
         lookup_left(
-            measured.filter(any_gap), team.select("alias", "manager", "sr_manager").distinct(),
+            measured.filter(any_gap), team.select("alias", "manager", "sr_manager"),
             "assignee", "alias", "issueurl",
         )
         .withColumn("manager_email", identity.address(responsible, rules.mail_domain))
         .select(*GAP_COLUMNS)
+        .distinct()
     )
 
 
@@ -191,7 +197,7 @@ def report_order() -> list[Column]:
 
 
 def resolved_bug_gaps(issues: DataFrame, team: DataFrame, rules: IssueRules) -> DataFrame:
-    return bug_gap_rows(issues, team, rules).distinct().orderBy(*report_order())
+    return bug_gap_rows(issues, team, rules).orderBy(*report_order())
 
 
 def bug_gap_to_list(gap_rows: DataFrame, rules: IssueRules) -> DataFrame:
@@ -203,7 +209,8 @@ def bug_gap_to_list(gap_rows: DataFrame, rules: IssueRules) -> DataFrame:
 
 def bug_gap_cc_list(gap_rows: DataFrame, rules: IssueRules) -> DataFrame:
     """Manager addresses in order of appearance, then the always-copied ones
-    that are not among them."""
+    that are not among them. Managers who appear on the same issue first come in
+    address order, as in the report."""
     place = F.struct(
         F.lit(0).alias("part"),
         F.col("assignee").isNull().alias("unassigned"), "assignee",
@@ -223,21 +230,22 @@ def bug_gap_cc_list(gap_rows: DataFrame, rules: IssueRules) -> DataFrame:
         ).alias("first_seen"),
     )
     everyone = managers.unionByName(fixed).groupBy("address").agg(F.min("first_seen").alias("first_seen"))
-    return number_rows(everyone, [F.col("first_seen").asc()], "list_order").select("list_order", "address")
+    return number_rows(everyone, [F.col("first_seen").asc(), F.col("address").asc()], "list_order").select("list_order", "address")
 
 
 def bug_gap_cell_flags(gap_rows: DataFrame, rules: IssueRules) -> DataFrame:
     flags = cell_flags(METRICS, rules.flagged_columns)
-    return gap_rows.distinct().select("issueurl", "manager_email", *[c.alias(n) for n, c in flags.items()])
+    return gap_rows.select("issueurl", "manager_email", *[c.alias(n) for n, c in flags.items()])
 
 
 def bug_gap_digest(gap_rows: DataFrame, rules: IssueRules, recipient: str = "manager_email") -> DataFrame:
-    """HTML pages per manager, or per ``assignee``."""
-    return digest_pages(gap_rows.distinct(), recipient, report_order(), rules.flagged_columns, rules.page_rows)
+    """HTML pages per manager, or per ``assignee``; rows without one go to pages with a
+    null recipient, which are for the always-copied addresses."""
+    return digest_pages(gap_rows, recipient, report_order(), rules.flagged_columns, rules.page_rows)
 
 
 def bug_gap_run_status(gap_rows: DataFrame, rules: IssueRules) -> DataFrame:
     """One row saying whether there is anything to send."""
-    return gap_rows.distinct().agg(F.count(F.lit(1)).alias("row_count")).select(
+    return gap_rows.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(rules.as_of).alias("as_of"), "row_count", (F.col("row_count") == 0).alias("is_empty")
     )

@@ -29,12 +29,13 @@ def previous_by_request(previous: DataFrame) -> DataFrame:
 
 def matched_report(report: DataFrame, previous: DataFrame) -> DataFrame:
     """New report with the previous row's columns as ``prev_*``, unmatched ones
-    null. Nothing is broadcast by force, as both sides grow with the data."""
-    id_type = report.schema["approval_id"].dataType
+    null. Nothing is broadcast by force, as both sides grow with the data. Ids are
+    compared as bigint, whatever the report's type, so that any linked id fits."""
     first = previous_by_request(previous).select(
-        F.col("approval_id").cast(id_type).alias("prev_approval_id"), *[F.col(c).alias(f"prev_{c}") for c in EDITED]
+        F.col("approval_id").alias("prev_approval_id"), *[F.col(c).alias(f"prev_{c}") for c in EDITED]
     )
-    return lookup_left(report, first, "approval_id", "prev_approval_id", "original_title")
+    keyed = report.withColumn("_request", F.col("approval_id").cast("bigint"))
+    return lookup_left(keyed, first, "_request", "prev_approval_id", "original_title").drop("_request")
 
 
 def new_entities(report: DataFrame, previous: DataFrame) -> DataFrame:

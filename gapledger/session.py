@@ -1,10 +1,8 @@
-"""Session settings and the checkpoint folder."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Adaptive execution picks broadcast joins by measured size, splits skewed join
 # partitions and merges small ones. These are Spark's defaults, pinned so that a
@@ -19,33 +17,23 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Adaptive execution only merges shuffle partitions, so this is the ceiling, for range
+# sorts too. At 100 TB it means some 5 GB of input a partition before pruning.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+}
+
 
 def build_session(
     app_name: str = "gapledger", master: str | None = None, extra: dict[str, str] | None = None
 ) -> SparkSession:
-    """A session with the settings above; ``extra`` adds or overrides some."""
+    """A session with the settings above, on a cluster with the shuffle width as well;
+    ``extra`` adds or overrides some."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in (SETTINGS | (extra or {})).items():
+    width = {} if (master or "").startswith("local") else CLUSTER_SETTINGS
+    for key, value in (SETTINGS | width | (extra or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read back.
-
-    The folder is the one named by ``spark.checkpoint.dir``. Only a local
-    session without it gets a temporary folder of its own; a cluster has to name
-    shared storage, since executors may be lost.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-            folder = tempfile.mkdtemp(prefix="gapledger-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()

@@ -30,14 +30,53 @@ def approval_schema(with_template: bool = True, with_role: bool = True) -> T.Str
     return T.StructType([T.StructField(n, t) for n, t in APPROVAL_FIELDS.items() if n not in left_out])
 
 
-def read_approvals_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+# What reconciliation needs of an earlier report; everything else in it is left alone.
+PREVIOUS_FIELDS = (
+    "approval_link string, region string, plan_year string, request_type string, clean_title string, "
+    "amount_mm double"
+)
+
+
+def read_approvals_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
     """CSV extract with a header line. The schema is declared, so the file is
-    read once; a header that disagrees with it is an error."""
+    read once; a header that disagrees with it is an error.
+
+    ``multi_line`` allows line breaks inside quotes. It costs the split: each file is
+    then read by one task, however long it is. Without it such a break is an error.
+    """
     return spark.read.schema(schema or approval_schema()).csv(
-        path, header=True, enforceSchema=False, multiLine=True, escape='"', mode="FAILFAST"
+        path, header=True, enforceSchema=False, multiLine=multi_line, escape='"', mode="FAILFAST"
+    )
+
+
+def read_previous_csv(spark: SparkSession, path: str, position: str = "row_pos") -> DataFrame:
+    """An earlier report as CSV without a header line, its first column ``position`` holding
+    the row's place in the sheet. Lead rows (titles, headings) need not be cut off: their
+    links hold no id, so that they match nothing, and amounts that are no numbers read null."""
+    declared = ", ".join(f"{field.name} string" for field in _previous_schema())
+    rows = spark.read.schema(f"{position} string, {declared}").csv(path, escape='"', mode="PERMISSIVE")
+    return rows.select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in _previous_schema()],
+        F.col(position).try_cast("bigint").alias("row_pos"),
     )
 
 
+def read_previous_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """An earlier report as one Parquet file, rows in sheet order. Of a folder with several
+    files, ``row_pos`` counts in each of them anew."""
+    rows = spark.read.parquet(path)
+    return rows.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in _previous_schema()],
+        F.col("_metadata.row_index").alias("row_pos"),
+    )
+
+
+def _previous_schema() -> T.StructType:
+    return T.StructType.fromDDL(PREVIOUS_FIELDS)
+
+
 def read_approvals_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -35,6 +35,7 @@ SELECT 'F' || CAST(r_regionkey AS VARCHAR(9)) AS assignedfolderid,
 FROM {region}
 """
 
+# Some people have two managers, who then both stand beside their issues.
 TEAM = """
 SELECT 'user' || CAST(c_custkey AS VARCHAR(19)) AS alias,
        CASE WHEN c_custkey % 17 = 0 THEN NULL
@@ -42,6 +43,16 @@ SELECT 'user' || CAST(c_custkey AS VARCHAR(19)) AS alias,
             ELSE 'mgr' || CAST(c_nationkey AS VARCHAR(9)) END AS manager,
        CASE WHEN c_custkey % 40 = 0 THEN NULL ELSE 'srmgr' || CAST(c_custkey % 3 AS VARCHAR(9)) END AS sr_manager
 FROM {customer}
+UNION ALL
+SELECT 'user' || CAST(c_custkey AS VARCHAR(19)), 'mgr' || CAST((c_nationkey + 1) % 25 AS VARCHAR(9)), 'srmgr1'
+FROM {customer} WHERE c_custkey % 7 = 3
+"""
+
+# Dated rows, as a store of weekly reports has them.
+DATED_REPORTS = """
+SELECT o_orderkey AS approval_id, o_orderpriority AS region,
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS report_date
+FROM {orders}
 """
 
 ISSUES = """
@@ -149,6 +160,7 @@ VIEWS = {
     "fx_titles": TITLES,
     "fx_approvals": APPROVALS,
     "fx_previous_report": PREVIOUS_REPORT,
+    "fx_dated_reports": DATED_REPORTS,
 }
 SOURCES = ("orders", "region", "customer", "lineitem")
 

@@ -196,6 +196,10 @@ def texts() -> dict[str, str]:
     )
     return {
         "pending_approvals": f"WITH {APPROVALS} SELECT * FROM pending_rows",
+        "pending_approvals_renamed": f"WITH {APPROVALS} SELECT * FROM pending_rows",
+        "latest_snapshot": f"""WITH {cte("fx_dated_reports")}
+            SELECT * FROM fx_dated_reports WHERE report_date = (
+              SELECT max(report_date) FROM fx_dated_reports WHERE report_date < DATE '2001-06-20')""",
         "pending_approvals_one_template": f"WITH {APPROVALS} SELECT * FROM pending_rows WHERE template_id = 37508",
         "pending_approvals_without_role": f"""WITH {cte("fx_approvals")}
             SELECT approval_id, title, needed_on, decision, approver, status, 0 AS template_id FROM fx_approvals

@@ -105,7 +105,7 @@ DIGEST = f"""
              || coalesce({_html('assignee')}, '') || '</td>'
              || {_marked_cell('missing_labels')} || {_marked_cell('missing_dates')} || {_marked_cell('missing_effort')}
              || {_marked_cell('missing_root_cause')} || '<td>' || missing_comments || '</td></tr>' AS line
-    FROM gaps WHERE manager_email IS NOT NULL)
+    FROM gaps)
   SELECT manager_email, CAST((n - 1) // 20 + 1 AS BIGINT) AS page, count(*) AS row_count,
          '<table><tr><th>Title</th><th>Assignee</th><th>Missing Label</th><th>Missing Date</th>'
          || '<th>Missing Effort Spent</th><th>Missing Root Cause</th><th>Missing Comments</th></tr>'

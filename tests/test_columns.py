@@ -156,8 +156,15 @@ def test_business_days(spark, week_start, first):
 
 
 def test_dates_as_text(spark, settings):
-    texts = ["2022-10-07", "2022-10-07T10:00:00", "2022-13-07", "", None, "x"]
-    assert evaluate(spark, dates.text_date, texts) == [dt.date(2022, 10, 7)] * 2 + [None] * 4
+    texts = ["2022-10-07", "2022-10-07T10:00:00", "2022-10-07junk", "2022-13-07", "", None, "x", "2022", "2022-10"]
+    assert evaluate(spark, dates.text_date, texts) == [dt.date(2022, 10, 7)] * 3 + [None] * 6
+    bad = [
+        "12-01x2022 05:00:00", "12-01-2022T05:00:00", "12-01-2022 05:00:0Z", "12-01-2022 5:00:00Z",
+        "12-01-2022 05:00   ", "12-01-2022 05:00:00\n", "13-01-2022 05:00:00", "", None,
+    ]
+    assert evaluate(spark, dates.needed_by_utc, bad) == [None] * len(bad)
+    good = ["12-01-2022 05:00:00", "2-1-2022 5:0:0"]
+    assert evaluate(spark, dates.needed_by_utc, good) == [dt.datetime(2022, 12, 1, 5), dt.datetime(2022, 2, 1, 5)]
     needed = ["12-01-2022 05:00:00", "12-01-2022 15:30:00", "07-04-2022 06:59:59", "02-31-2022 00:00:00", "soon", None,
               "7-4-2022 7:00:00", "12/01/2022 05:00:00", "2022-12-01 05:00:00", ""]
     shown = ["30-Nov, 2022", "01-Dec, 2022", "03-Jul, 2022", None, None, None, "04-Jul, 2022", None, None, None]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gapledger.config import IssueRules
 from gapledger.plans import issues as iss
+from gapledger.sources.named_sql import run_named_query
 
 RULES = IssueRules(as_of=dt.date(2022, 12, 1), cutoff=dt.date(2022, 10, 1))
 SPRINT_SCHEMA = "sprint_id string, start_date string, end_date string"
@@ -158,6 +159,37 @@ def test_lists_keep_the_order_of_appearance(spark):
     assert [r.list_order for r in cc] == list(range(1, len(cc) + 1))
 
 
+def test_managers_of_one_issue_are_listed_in_address_order(spark, settings):
+    settings(spark__sql__adaptive__enabled="false")
+    managers = [f"m{n:02}" for n in range(15)]
+    team = frame(spark, [("ann", m, None) for m in reversed(managers)] * 2, TEAM_SCHEMA)
+    gaps = iss.bug_gap_rows(issues(spark, {}).repartition(8), team, RULES)
+    assert gaps.count() == 15
+    cc = iss.bug_gap_cc_list(gaps, RULES).orderBy("list_order").collect()
+    report = iss.resolved_bug_gaps(issues(spark, {}), team, RULES).collect()
+    assert [r.address for r in cc][:15] == [r.manager_email for r in report] == [f"{m}@example.org" for m in managers]
+
+
+def test_cut_off_on_the_text_keeps_what_the_date_keeps(spark):
+    texts = ["2022-10-01", "2022-10-01T23:59", "2022-10-02", "2022-10-02junk", "2022-11", "2022", "2023-1-5", "x", " 2022-10-07"]
+    rows = issues(spark, *[{"resolveddate": t} for t in texts])
+    kept = [r.resolveddate for r in iss.resolved_bugs(rows, RULES).collect()]
+    assert kept == ["2022-10-02", "2022-10-02junk"]
+
+
+def test_named_query_follows_the_week_start(spark):
+    rows = issues(spark, {"resolveddate": "2022-10-07"}, {"issueurl": "u2", "resolveddate": "2022-10-09"})
+    team = frame(spark, TEAM, TEAM_SCHEMA)
+    for start in ("monday", "sunday"):
+        rules = replace(RULES, week_start=start)
+        params = {n: getattr(rules, n) for n in (
+            "as_of", "cutoff", "bug_folder", "resolved_status", "bot_author", "realm_prefix", "realm_suffix",
+            "mail_domain", "week_start",
+        )}
+        named = run_named_query(spark, "resolved_bug_gaps", params, {"issues": rows, "team": team})
+        assert named.collect() == iss.resolved_bug_gaps(rows, team, rules).collect()
+
+
 def test_cell_flags_leave_comments_out(spark):
     rows, team = gap_fixture(spark)
     gaps = iss.bug_gap_rows(rows, team, RULES)
@@ -170,7 +202,7 @@ def test_cell_flags_leave_comments_out(spark):
 
 def test_digest_holds_every_row_once_and_escapes(spark):
     rows, team = gap_fixture(spark)
-    report = [r for r in iss.resolved_bug_gaps(rows, team, RULES).collect() if r.manager_email]
+    report = iss.resolved_bug_gaps(rows, team, RULES).collect()
     for page_rows in (1, 2, 200):
         pages = iss.bug_gap_digest(iss.bug_gap_rows(rows, team, RULES), replace(RULES, page_rows=page_rows)).collect()
         assert max(p.row_count for p in pages) <= page_rows
@@ -182,7 +214,8 @@ def test_digest_holds_every_row_once_and_escapes(spark):
         text = "".join(p.html for p in pages)
         assert html.escape('a <b> & "c"') in text and "<b>" not in text
     by_person = iss.bug_gap_digest(iss.bug_gap_rows(rows, team, RULES), RULES, "assignee").collect()
-    assert {p.assignee for p in by_person} == {"ann", "bob", "cy"}
+    assert {p.assignee for p in by_person} == {"ann", "bob", "cy", None}
+    assert sum(p.row_count for p in by_person) == len(report)
 
 
 def test_digest_of_a_recipient_with_very_many_rows(spark):
