@@ -52,7 +52,9 @@ def test_checklist_keeps_no_sets(issue_tables):
     assert "collect_set" not in plan and "ObjectHashAggregate" not in plan
 
 
-def test_filters_and_columns_reach_the_scan(issue_tables):
+def test_filters_and_columns_reach_the_scan(issue_tables, settings):
+    # Plans are printed in full, not cut after a hundred characters.
+    settings(spark__sql__maxMetadataStringLength="2000")
     plan = iss.bug_gap_rows(issue_tables("issues"), issue_tables("team"), ISSUE_RULES)
     text = plan._jdf.queryExecution().toString()
     pushed = re.findall(r"PushedFilters: \[([^\]]*)", text)[0]
@@ -78,6 +80,7 @@ def test_unknown_sizes_are_not_forced_to_broadcast(issue_tables, settings):
 
 
 def test_both_forms_of_the_gap_report_scatter_rows_without_assignee(issue_tables, settings):
+    settings(spark__sql__maxMetadataStringLength="2000")
     settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     tables = issue_tables("issues"), issue_tables("team")
     text = entry._named_gaps(*tables)
