@@ -5,9 +5,11 @@ signature over its weighted five-word shingles; signatures are cut into bands, a
 texts that share a band's hash share a bucket. A bucket is not expanded into pairs at
 once: its members are compared with one centre, links are closed into components, and
 what remains are pairs of a bucket's members in different components. Rounds with
-other centres go on while those are many and get fewer; then all of them are
-compared. So every pair that shares a bucket is either compared or already in one
-class, and no comparison is left out.
+centres of small, newly dealt parts go on while those are many and get fewer. Then each remaining pair is
+judged by its whole signatures, once, in the first bucket it shares: where these agree
+as often as those of similar texts do, the texts are compared. So every pair that
+shares a bucket is compared, or in one class already, or ruled out by its signatures,
+which ``MISSED`` bounds; there is no limit on the size of a bucket or on pairs.
 """
 
 from __future__ import annotations
@@ -16,11 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapledger.llm.components import connected_components
-from gapledger.llm.dart_minhash import band_hashes, dart_signatures
+from gapledger.llm.dart_minhash import band_hashes, dart_signatures, most_differing, nibbles
 from gapledger.llm.shingles import WordReader, as_set, jaccard, shingles
 from gapledger.llm.staging import staged
 from gapledger.llm.text import free_name
@@ -32,6 +34,11 @@ BANDS, ROWS = 32, 6
 #: All remaining pairs are compared once they are at most so many per text, or once a round
 #: with other centres leaves more than this share of them.
 PAIRS_PER_TEXT, STALLED = 1, 0.75
+#: Members of the parts that buckets are dealt into, on average.
+PART = 8
+#: At most this share of the pairs just similar enough have signatures that rule them out.
+MISSED = 1 / 50_000
+_NIBBLE_ENDS = 0x1111111111111111
 _SLICE = 1_000_000
 
 
@@ -42,20 +49,23 @@ def _sketch(part: list[str], reader: WordReader, bands: int, rows: int) -> list[
     for text in part:
         words = reader.words(text)
         values = shingles(words)
-        found.append({"digest": xxhash.xxh3_128_digest(words.tobytes()), "total": len(values), "bands": []})
+        found.append({"digest": xxhash.xxh3_128_digest(words.tobytes()), "total": len(values), "bands": [], "signature": []})
         sets.append(np.unique(values, return_counts=True))
     full = [i for i, (values, _) in enumerate(sets) if len(values)]
     if full:
         elements = np.concatenate([sets[i][0] for i in full])
         weights = np.concatenate([sets[i][1] for i in full]).astype(np.float64)
         owner = np.repeat(np.arange(len(full)), [len(sets[i][0]) for i in full])
-        hashes = band_hashes(dart_signatures(elements, weights, owner, len(full), bands * rows), rows).view(np.int64)
-        for i, row in zip(full, hashes.tolist(), strict=True):
-            found[i]["bands"] = row
+        signatures = dart_signatures(elements, weights, owner, len(full), bands * rows)
+        hashes, short = band_hashes(signatures, rows).view(np.int64), nibbles(signatures).view(np.int64)
+        for i, row, of in zip(full, hashes.tolist(), short.tolist(), strict=True):
+            found[i] |= {"bands": row, "signature": of}
     return found
 
 
-_SKETCH = pa.struct([("digest", pa.binary()), ("total", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_SKETCH = pa.struct([
+    ("digest", pa.binary()), ("total", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.list_(pa.int64())),
+])
 
 
 def _sketches(texts: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -68,7 +78,8 @@ def _sketches(texts: DataFrame, bands: int, rows: int) -> DataFrame:
             yield pa.array(found, _SKETCH)
 
     sketch.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    made = F.arrow_udf(sketch, "struct<digest:binary,total:long,bands:array<long>>").asNondeterministic()
+    kind = "struct<digest:binary,total:long,bands:array<long>,signature:array<long>>"
+    made = F.arrow_udf(sketch, kind).asNondeterministic()
     return texts.select("id", made(F.col("text")).alias("s")).select("id", "s.*")
 
 
@@ -93,10 +104,42 @@ def _similar(one: pa.Array, other: pa.Array) -> pa.Array:
 _similar.__annotations__ = {"one": pa.Array, "other": pa.Array, "return": pa.Array}
 
 
+def _may_be_similar(total_a: Column, total_b: Column, similarity: float) -> Column:
+    """Weighted Jaccard similarity is at most the smaller total over the larger."""
+    return F.least(total_a, total_b) >= F.greatest(total_a, total_b) * F.lit(similarity)
+
+
+def _open_pairs(held: DataFrame, sketches: DataFrame, similarity: float, bands: int, rows: int) -> DataFrame:
+    """Pairs of a bucket's members with different labels whose totals and signatures may be of similar texts.
+
+    Each pair comes once, from the first band it shares. All tests are part of the join's
+    condition, so that a pair ruled out is never a row.
+    """
+    nodes = held.join(sketches.select("id", "bands", "signature"), "id")
+    end = lambda e: nodes.select(
+        "band", "hash", *[F.col(c).alias(f"{c}_{e}") for c in ("id", "total", "label", "bands", "signature")]
+    )
+    differing = F.lit(0)
+    for word in range(-(-bands * rows // 16)):
+        bits = F.get("signature_a", F.lit(word)).bitwiseXOR(F.get("signature_b", F.lit(word)))
+        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 1))
+        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 2)).bitwiseAND(F.lit(_NIBBLE_ENDS))
+        differing = differing + F.bit_count(bits)
+    first = F.array_position(F.zip_with("bands_a", "bands_b", lambda a, b: a == b), True) - 1
+    left, right = end("a").alias("l"), end("b").alias("r")
+    condition = (
+        (F.col("l.band") == F.col("r.band")) & (F.col("l.hash") == F.col("r.hash"))
+        & (F.col("label_a") < F.col("label_b")) & _may_be_similar(F.col("total_a"), F.col("total_b"), similarity)
+        & (differing <= most_differing(similarity, bands * rows, MISSED)) & (first == F.col("l.band"))
+    )
+    return left.join(right, condition).select(
+        F.col("id_a").alias("a"), F.col("id_b").alias("b"), "total_a", "total_b"
+    )
+
+
 def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Those of ``pairs`` (``a, b, total_a, total_b``) that are similar enough, compared exactly."""
-    # Weighted Jaccard similarity is at most the smaller total over the larger.
-    may = F.least("total_a", "total_b") >= F.greatest("total_a", "total_b") * F.lit(similarity)
+    may = _may_be_similar(F.col("total_a"), F.col("total_b"), similarity)
     pairs = pairs.filter(may).select("a", "b").distinct()
     one = sets.select(F.col("id").alias("a"), F.col("cells").alias("cells_a"))
     other = sets.select(F.col("id").alias("b"), F.col("cells").alias("cells_b"))
@@ -148,19 +191,18 @@ def near_duplicate_classes(
         if not open_pairs:
             break
         held = staged(held.join(split.select("band", "hash"), ["band", "hash"]))
-        last = open_pairs <= enough or (turn > 0 and open_pairs > STALLED * before)
+        last = open_pairs <= enough or (turn > 1 and open_pairs > STALLED * before)
         before = open_pairs
         if last:
-            left = held.select("band", "hash", F.col("id").alias("a"), F.col("total").alias("total_a"), "label")
-            right = held.select(
-                "band", "hash", F.col("id").alias("b"), F.col("total").alias("total_b"), F.col("label").alias("label_b")
-            )
-            pairs = left.join(right, ["band", "hash"]).filter("label < label_b")
+            pairs = _open_pairs(held, sketches, similarity, bands, rows)
         else:
-            # A centre of its own for each bucket and round, the least id first.
-            order = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
-            centres = held.groupBy("band", "hash").agg(F.min(F.struct(order.alias("o"), "id", "total", "label")).alias("c"))
-            pairs = held.join(centres, ["band", "hash"]).filter("label <> c.label").select(
+            # At first a bucket's centre is its least id. Later a bucket is dealt anew each round into
+            # parts with a centre each, so that a member meets others in each of its bands.
+            parts = F.ceil(F.col("n") / PART) if turn else F.lit(1)
+            cut = held.join(split.select("band", "hash", parts.alias("parts")), ["band", "hash"])
+            cut = cut.withColumn("part", F.pmod(F.xxhash64("id", "band", F.lit(turn)), "parts"))
+            centres = cut.groupBy("band", "hash", "part").agg(F.min(F.struct("id", "total", "label")).alias("c"))
+            pairs = cut.join(centres, ["band", "hash", "part"]).filter("label <> c.label").select(
                 F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b"),
                 F.col("total").alias("total_a"), F.col("c.total").alias("total_b"),
             )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -16,7 +17,7 @@ from gapledger.llm import (
     byte_gru, decontamination, exact_dedup, language_id, near_dedup, packing, pii, registry, suffix_dedup,
     token_counts, url_rules, warc,
 )
-from gapledger.llm.dart_minhash import dart_signatures
+from gapledger.llm.dart_minhash import dart_signatures, most_differing, nibbles
 from tests.compare import duck, rows_of_duck, rows_of_spark
 
 DOCS = "doc_id long, text string, lang string, kept string"
@@ -58,7 +59,22 @@ def _shingles(text):
     return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
 
 
-def test_near_dedup_against_all_pairs(docs):
+def test_nibbles_rule_out_few_similar_pairs():
+    rng = np.random.default_rng(3)
+    most = most_differing(0.8, 192, 1 / 50_000)
+    # By the exact binomial tail.
+    tail = lambda m: sum(math.comb(192, i) * 0.1875**i * 0.8125 ** (192 - i) for i in range(m + 1, 193))
+    assert tail(most) <= 1 / 50_000 < tail(most - 1)
+    assert most_differing(1.0, 192, 0.1) == 0
+    one = rng.integers(0, 2**63, (2, 20)).astype(np.uint64)
+    packed = nibbles(one)
+    assert packed.shape == (2, 2)
+    for i in range(20):
+        assert int(packed[0, i // 16]) >> 4 * (i % 16) & 15 == int(one[0, i]) & 15
+
+
+@pytest.mark.parametrize("pairs_per_text", [1, 0])
+def test_near_dedup_against_all_pairs(docs, pairs_per_text):
     texts = {r["doc_id"]: _shingles(r["text"]) for r in docs.select("doc_id", "text").collect()}
     label = {i: i for i in texts}
     for a in texts:
@@ -68,7 +84,8 @@ def test_near_dedup_against_all_pairs(docs):
                 if common and common >= 0.8 * sum((texts[a] | texts[b]).values()):
                     low, high = sorted((label[a], label[b]))
                     label = {i: low if x == high else x for i, x in label.items()}
-    assert {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicate_classes(docs).collect()} == label
+    found = near_dedup.near_duplicate_classes(docs, pairs_per_text=pairs_per_text)
+    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == label
 
 
 def test_near_dedup_odd_rows(odd):
