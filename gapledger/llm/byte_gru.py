@@ -181,6 +181,8 @@ class ByteGRU:
         """Per segment: the sum over its positions of their probabilities, in the given order."""
         sums = np.zeros((len(segments), len(self.labels)), np.float32)
         order = sorted(range(len(segments)), key=lambda i: -len(segments[i]))
+        # Memory goes with positions times labels.
+        batch = max(1, batch * 200 // max(200, len(self.labels)))
         for at in range(0, len(order), batch):
             part = order[at : at + batch]
             sums[part] = self.position_probabilities([segments[i] for i in part])[0].sum(1)

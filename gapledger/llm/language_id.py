@@ -1,13 +1,15 @@
 """Language of whole documents by a byte-level recurrent network (``byte_gru``).
 
-A text is cut at white space into segments; each segment, with one closing blank, is
-read by the network, which labels every byte position. A document's probabilities
+A text is cut at white space into segments, and a segment with one closing blank into
+pieces of at most ``PIECE`` bytes. The network reads each piece on its own, with no state
+from other pieces, and labels every byte position. A document's probabilities
 are the mean over all its positions. Equal segments get equal labels, so a task
 reads a segment once and then adds its sums for every place where it stands.
 
-The network is fitted on the driver on at most ``max_segments`` distinct (segment,
-language) pairs, of documents sampled by a hash of their id, about
-``docs_per_language`` of each language. Only text and label of documents whose
+The network is fitted on the driver on pieces cut the same way: at most ``max_segments``
+distinct (piece, language) pairs, and one of each language left out by that, of documents
+sampled by a hash of their id, about ``docs_per_language`` of each language. Only text and
+label of documents whose
 ``crc32(id as text) mod 4`` is not 2 are used; the rest is for held-out accuracy.
 """
 
@@ -26,8 +28,11 @@ from gapledger.llm.workers import slices
 
 UNKNOWN = "und"
 _HASH_RANGE = 1 << 30
-#: Segments a task remembers, and characters of text it works on at a time.
-_MEMORY, _SLICE = 300_000, 2_000_000
+#: Segments a task remembers, and characters of text it works on at a time; both
+#: shrink in proportion where there are more labels than _LABELS.
+_MEMORY, _SLICE, _LABELS = 300_000, 2_000_000, 200
+#: What Python's str.split takes for white space.
+_BLANKS = r"(?U)[\s\x1c-\x1f]+"
 
 
 def held_out(id_column: Column) -> Column:
@@ -36,33 +41,41 @@ def held_out(id_column: Column) -> Column:
 
 def fit_language_model(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang",
-    docs_per_language: int = 400, max_segments: int = 40_000, max_languages: int = 200, steps: int = 300,
+    docs_per_language: int = 400, max_segments: int = 40_000, steps: int = 300,
 ) -> ByteGRU | None:
     """The trained network, or None where no document has both text and label."""
     rows = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"),
         F.col(label_column).cast("string").alias("label"),
     ).filter(~held_out(F.col("id")) & F.col("label").isNotNull() & F.col("text").isNotNull())
-    sizes = {
-        r["label"]: r["count"]
-        for r in rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_languages).collect()
-    }
+    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     labels = sorted(sizes)
     if not labels:
         return None
     place = F.pmod(F.xxhash64("id"), F.lit(_HASH_RANGE))
-    within = F.lit(False)
-    for label in labels:
-        share = min(1.0, docs_per_language / sizes[label])
-        within = within | ((F.col("label") == label) & (place < int(share * _HASH_RANGE)))
-    words = rows.filter(within).select("label", F.explode(F.split("text", r"\s+")).alias("segment"))
-    words = words.filter((F.col("segment") != "") & (F.octet_length("segment") < PIECE))
-    counted = words.groupBy("segment", "label").agg(F.count(F.lit(1)).alias("n"))
-    found = counted.orderBy(F.xxhash64("segment", "label"), "segment", "label").limit(max_segments).collect()
+    # One flat map, as a condition per label would nest as deep as there are labels.
+    large = {label: int(docs_per_language / n * _HASH_RANGE) for label, n in sizes.items() if n > docs_per_language}
+    if large:
+        most = F.create_map(*[F.lit(x) for pair in sorted(large.items()) for x in pair])
+        rows = rows.filter(place < F.coalesce(F.try_element_at(most, F.col("label")), F.lit(_HASH_RANGE)))
+    words = rows.select("label", F.explode(F.split("text", _BLANKS)).alias("segment")).filter("segment != ''")
+    coded = words.select("label", F.concat("segment", F.lit(" ")).cast("binary").alias("coded"))
+    starts = F.sequence(F.lit(1), F.octet_length("coded"), F.lit(PIECE))
+    pieces = F.transform(starts, lambda at: F.substring(F.col("coded"), at, F.lit(PIECE)))
+    counted = coded.select("label", F.explode(pieces).alias("piece")).groupBy("piece", "label").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    place = F.xxhash64("piece", "label")
+    found = counted.orderBy(place, "piece", "label").limit(max_segments).collect()
     if not found:
         return None
-    segments = [r["segment"].encode() + b" " for r in found]
-    truth = np.array([labels.index(r["label"]) for r in found])
+    if len(found) == max_segments and (left := sorted(set(labels) - {r["label"] for r in found})):
+        rest = counted.filter(F.col("label").isin(left)).groupBy("label")
+        first = rest.agg(F.min(F.struct(place.alias("place"), "piece", "n")).alias("first"))
+        found += first.select("label", "first.piece", "first.n").orderBy("label").collect()
+    segments = [bytes(r["piece"]) for r in found]
+    number = {label: i for i, label in enumerate(labels)}
+    truth = np.array([number[r["label"]] for r in found])
     # Each language weighs the same; within one, frequent segments count by a root.
     weight = np.sqrt(np.array([r["n"] for r in found], float))
     for i in range(len(labels)):
@@ -71,6 +84,10 @@ def fit_language_model(
     return ByteGRU.start(labels).train(segments, truth, weight, steps=steps)
 
 
+def _fitting(size: int, labels: list[str]) -> int:
+    return max(1, size * _LABELS // max(_LABELS, len(labels)))
+
+
 class _Memory(dict):
     """Segment to row of the sums; new ones wait in ``pending``."""
 
@@ -111,7 +128,7 @@ class Labeller:
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
         """Mean position probabilities, a row per text; zero rows for texts of white space."""
-        if len(self.memory) > _MEMORY:
+        if len(self.memory) > _fitting(_MEMORY, self.model.labels):
             self._forget()
         counts, found = [], []
         for text in texts:
@@ -131,7 +148,7 @@ class Labeller:
 def _label(model: ByteGRU, texts: pa.Array, labeller: Labeller) -> pa.Array:
     languages: list[str] = []
     scores: list[float] = []
-    for part in slices(texts, _SLICE):
+    for part in slices(texts, _fitting(_SLICE, model.labels)):
         for text, row in zip(part, labeller.probabilities(part), strict=True):
             known = any(map(str.isalpha, text)) and row.sum() > 0
             languages.append(model.labels[int(row.argmax())] if known else UNKNOWN)

@@ -133,6 +133,31 @@ def test_language_odd_rows(odd):
     assert language_id.fit_language_model(odd.limit(0)) is None
 
 
+def test_language_without_blanks_is_learned(spark):
+    rng = np.random.default_rng(3)
+    draw = lambda low, high, n: "".join(map(chr, rng.integers(low, high, n)))
+    rows = [(i, draw(0x4E00, 0x5000, 60), "zh") for i in range(80)]
+    rows += [(100 + i, draw(0x0E01, 0x0E2F, 60), "th") for i in range(80)]
+    rows += [(200 + i, " ".join(draw(97, 123, 5) for _ in range(20)), "en") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    # A bound of so few pieces leaves every language at least one.
+    assert language_id.fit_language_model(docs, max_segments=1, steps=1).labels == ["en", "th", "zh"]
+    model = language_id.fit_language_model(docs, steps=60)
+    found = language_id.identify_languages(docs, model).collect()
+    for label in ("zh", "th", "en"):
+        own = [r["lang_pred"] == label for r in found if r["lang"] == label]
+        assert sum(own) >= 0.9 * len(own), label
+
+
+def test_more_than_200_languages(spark):
+    rows = [(i, f"word{i % 230}", f"l{i % 230:03}") for i in range(1150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labelled = docs.filter(~language_id.held_out(F.col("doc_id"))).select("lang").distinct().count()
+    model = language_id.fit_language_model(docs, docs_per_language=2, steps=1)
+    assert len(model.labels) == labelled > 200
+    assert language_id.identify_languages(docs, model).count() == 1150
+
+
 def test_decontamination_finds_every_window(spark, sf_dir, docs):
     bench = registry.benchmark(spark, sf_dir)
     items = {r["item_id"]: _shingles(r["text"]) for r in bench.collect()}
