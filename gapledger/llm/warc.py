@@ -25,7 +25,6 @@ from gapledger.llm.staging import staged
 RECORDS_PER_FILE = 1000
 MIN_REVISIT_BYTES = 1000
 _VERSION, _MEMBER, _END = b"WARC/1.", b"\x1f\x8b\x08", b"\r\n\r\n"
-_HEADER_LIMIT = 1 << 16
 
 
 def _record_id(page: Column) -> Column:
@@ -107,8 +106,8 @@ class _Damaged(Exception):
 
 def _parse(data: bytes, start: int) -> Record:
     """The plain record at ``start``, checked."""
-    head = data.find(_END, start, start + _HEADER_LIMIT)
-    if not data.startswith(_VERSION, start) or head < 0:
+    head = data.find(_END, start) if data.startswith(_VERSION, start) else -1
+    if head < 0:
         raise _Damaged("no header")
     fields = {}
     for line in data[start:head].split(b"\r\n")[1:]:

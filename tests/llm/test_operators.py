@@ -248,6 +248,15 @@ def test_archives_come_back_and_damage_is_told(spark, tmp_path):
     assert [r.reason is None for r in found] == [True, False, True]
 
 
+def test_archives_with_long_urls(spark, tmp_path):
+    url, html = "http://example.org/" + "a" * 100_000, "x" * 2000
+    pages = spark.createDataFrame([(1, "http://example.org/", html), (2, url, html)], "page_id long, url string, html string")
+    warc.write_archives(warc.page_records(pages), str(tmp_path / "w"))
+    got = {r["record_id"]: r for r in warc.read_archives(spark, str(tmp_path / "w")).collect()}
+    assert set(got) == {"<urn:page:1>", "<urn:page:2>"}
+    assert got["<urn:page:2>"]["target_uri"] == url and got["<urn:page:1>"]["refers_to"] == "<urn:page:2>"
+
+
 def test_repeated_strings_against_all_positions(spark, docs):
     more = [(9000, None), (9001, "x" * 900), (9002, "y" * 199), (9003, "y" * 200), (9003, "y" * 200), (None, "é" * 300)]
     texts = docs.limit(120).select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
