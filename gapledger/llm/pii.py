@@ -42,9 +42,9 @@ PROPOSED = {
     "email": r"(?i)\b[a-z0-9._-]{2,40} ?[\[(]at[\])] ?[a-z0-9-]{2,40}(?: ?(?:\.|[\[(]dot[\])]) ?[a-z]{2,10})+\b",
     "phone": r"(?<![0-9+().-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9-])",
 }
-#: What a text must contain for a pattern to be tried at all.
+#: What a text, for proposed spans in lower case, must contain for a pattern to be tried at all.
 _NEEDS = {"email": "@", "phone": "+", "ip": "."}
-_PROPOSED_NEEDS = {"email": ("(at)", "[at]", "(AT)", "[AT]")}
+_PROPOSED_NEEDS = {"email": ("(at)", "[at]")}
 
 GAZETTEER = {
     # Top-level domains; network octets in use; leading digits of card issuers; calling codes.
@@ -145,7 +145,7 @@ def candidate_spans(text: Column) -> Column:
         if kind in _PROPOSED_NEEDS:
             needed = F.lit(False)
             for mark in _PROPOSED_NEEDS[kind]:
-                needed = needed | text.contains(mark)
+                needed = needed | F.lower(text).contains(mark)
             found = F.when(needed, found).otherwise(none)
         proposed.append(F.transform(found, lambda x: _span(kind, x, False)))
     return F.struct(F.concat(*base).alias("base"), F.concat(*proposed).alias("proposed"))

@@ -321,6 +321,12 @@ def test_personal_data_base_spans(spark, docs):
         assert set(joined) <= set(got[r["doc_id"]]["spans"].split(",")) or not joined
 
 
+def test_proposed_emails_in_any_case(spark):
+    texts = spark.createDataFrame([(f"anna {at} example.org",) for at in ("(at)", "(At)", "[aT]", "[AT]")], "text string")
+    found = texts.select(F.size(pii.candidate_spans(F.col("text"))["proposed"]).alias("n")).collect()
+    assert [r["n"] for r in found] == [1, 1, 1, 1]
+
+
 def test_reliabilities_are_recovered():
     rng = np.random.default_rng(1)
     real = rng.random(20_000) < 0.4
