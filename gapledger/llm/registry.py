@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapledger.llm import (
-    decontamination, exact_dedup, language_id, near_dedup, packing, pii, suffix_dedup, token_counts, url_rules, warc,
+    alignment, collocations, decontamination, exact_dedup, language_id, near_dedup, packing, pii, suffix_dedup,
+    token_counts, url_rules, warc,
 )
 from gapledger.llm.staging import staging_folder
 
@@ -97,6 +98,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(docs).drop("text")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(
+        _documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    )
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -111,6 +122,8 @@ def queries() -> dict[str, Query]:
         "op8_url_rules": op8_url_rules,
         "op9_pii": op9_pii,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_collocations": op11_collocations,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -162,6 +175,48 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM d JOIN g ON d.t = g.t
 """
 
+_OP11_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), starts AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), grams AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+    FROM starts, (VALUES (1), (2), (3)) AS s(k) WHERE i + k - 1 <= len(w)
+), f AS (
+    SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL
+), n AS (
+    SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+    SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10
+), cuts AS (
+    SELECT c.lang, c.phrase, c.k, c.a, x.k AS cut, x.a AS l, y.a AS r,
+        CAST((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+    FROM c JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.phrase = array_to_string(c.w[1 : x.k], ' ')
+        JOIN f y ON y.lang = c.lang AND y.k = c.k - x.k AND y.phrase = array_to_string(c.w[x.k + 1 : c.k], ' ')
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), within AS (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE k = 3
+), longest AS (
+    SELECT lang, phrase, max(a) AS longest FROM within GROUP BY ALL
+), ranked AS (
+    SELECT lowest.*, row_number() OVER (
+        PARTITION BY lowest.lang ORDER BY score DESC, a DESC, encode(lowest.phrase)) AS rank
+    FROM lowest LEFT JOIN longest ON lowest.lang = longest.lang AND lowest.phrase = longest.phrase AND lowest.k = 2
+    WHERE longest IS NULL OR 100 * longest < 50 * a
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n ON ranked.lang = n.lang WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": _OP4_SQL, "op8_url_rules": _OP8_SQL, "op10_exact_dedup": _OP10_SQL}
+    return {
+        "op4_warc": _OP4_SQL, "op8_url_rules": _OP8_SQL, "op10_exact_dedup": _OP10_SQL,
+        "op11_collocations": _OP11_SQL,
+    }
