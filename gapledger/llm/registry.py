@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapledger.llm import (
-    alignment, collocations, decontamination, exact_dedup, language_id, near_dedup, packing, pii, suffix_dedup,
-    token_counts, url_rules, warc,
+    alignment, collocations, decontamination, embedding_dedup, exact_dedup, language_id, near_dedup, packing, pii,
+    suffix_dedup, token_counts, url_rules, warc,
 )
 from gapledger.llm.staging import staging_folder
 
@@ -108,6 +108,11 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -124,6 +129,7 @@ def queries() -> dict[str, Query]:
         "op10_exact_dedup": op10_exact_dedup,
         "op11_collocations": op11_collocations,
         "op12_tokenizer_alignment": op12_tokenizer_alignment,
+        "op13_embedding_dedup": op13_embedding_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
