@@ -1,19 +1,18 @@
 """The two scheduled runs: daily issue digest, weekly approval report.
 
-Each takes frames and rules, writes dated partitions and returns nothing to the
-driver but the folder names.
+Each takes frames and rules, writes its tables as one run, publishes them in one step and
+returns nothing to the driver but the folder names. ``sources.publishing`` reads them.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapledger.config import ApprovalRules, IssueRules
 from gapledger.functions.dates import data_cut_label
 from gapledger.plans import approvals, issues, reconcile
-from gapledger.sources.snapshots import latest_snapshot, write_snapshot
+from gapledger.sources.publishing import latest_published, publish_run
 from gapledger.staging import discarding, staged
 
 
@@ -33,21 +32,7 @@ def run_issue_digest(issue_table: DataFrame, team: DataFrame, rules: IssueRules,
             "digest": issues.bug_gap_digest(gaps, rules),
             "status": issues.bug_gap_run_status(gaps, rules),
         }
-        paths = {name: f"{folder}/{name}" for name in outputs}
-        for name, df in outputs.items():
-            write_snapshot(df, paths[name], rules.as_of)
-    return paths
-
-
-def _stored_report(spark: SparkSession, store: str, rules: ApprovalRules) -> DataFrame | None:
-    """The latest earlier report in the store, None before the first run."""
-    try:
-        stored = spark.read.parquet(store)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return latest_snapshot(stored, rules.as_of).withColumnRenamed("row_number", "row_pos")
+        return publish_run(issue_table.sparkSession, folder, rules.as_of, outputs)
 
 
 def run_approval_report(
@@ -62,22 +47,19 @@ def run_approval_report(
     the data-cut label.
 
     ``previous`` is the last report as edited by hand (with ``row_pos``); without
-    it the folder's latest earlier run stands in. ``template`` and ``names`` are those
+    it the latest report published in the folder for an earlier date stands in. ``template`` and ``names`` are those
     of ``pending_approvals``.
     """
     spark = extract.sparkSession
-    paths = {name: f"{folder}/{name}" for name in ("report", "unknown_templates", "data_cut")}
     pending = approvals.pending_approvals(extract, rules, template, names)
-    if previous is None:
-        previous = _stored_report(spark, paths["report"], rules)
+    if previous is None and (stored := latest_published(spark, folder, "report", rules.as_of)) is not None:
+        previous = stored.withColumnRenamed("row_number", "row_pos")
     if previous is None:
         previous = spark.createDataFrame([], reconcile.PREVIOUS_SCHEMA)
-    with discarding(spark):
-        report = approvals.approval_report(pending, rules)
-        write_snapshot(reconcile.reconcile_report(report, previous), paths["report"], rules.as_of, "row_number")
-    write_snapshot(approvals.unknown_templates(pending, rules), paths["unknown_templates"], rules.as_of)
     cut = pending.agg(F.count(F.lit(1)).alias("row_count"))
-    write_snapshot(
-        cut.select(data_cut_label(rules.as_of_time).alias("label"), "row_count"), paths["data_cut"], rules.as_of
-    )
-    return paths
+    with discarding(spark):
+        return publish_run(spark, folder, rules.as_of, {
+            "report": lambda: reconcile.reconcile_report(approvals.approval_report(pending, rules), previous),
+            "unknown_templates": approvals.unknown_templates(pending, rules),
+            "data_cut": cut.select(data_cut_label(rules.as_of_time).alias("label"), "row_count"),
+        }, ordered={"report": "row_number"})

@@ -1,0 +1,144 @@
+"""Runs are seen whole or not at all."""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from gapledger import jobs
+from gapledger.plans import issues as iss
+from gapledger.sources import publishing as pub
+from gapledger.sources.fixtures import APPROVAL_RULES, ISSUE_RULES, view
+
+DAY, NEXT = dt.date(2022, 11, 23), dt.date(2022, 12, 1)
+
+
+def numbers(spark, n):
+    return spark.range(n).withColumnRenamed("id", "row_number")
+
+
+def broken(spark):
+    """Fails while it is written, after some of its rows."""
+    fails = F.when(F.col("id") == 9_999, F.raise_error(F.lit("lost"))).otherwise(F.col("id"))
+    return spark.range(10_000).repartition(4).select(fails.cast("bigint").alias("row_number"))
+
+
+def counts(spark, folder, *names):
+    return [pub.read_published(spark, folder, n).count() for n in names]
+
+
+def test_run_that_fails_half_way_leaves_the_former_whole(spark, tmp_path):
+    folder = str(tmp_path)
+    pub.publish_run(spark, folder, DAY, {"gaps": numbers(spark, 3), "digest": numbers(spark, 2)})
+    for date in (DAY, NEXT):
+        with pytest.raises(Exception, match="lost"):
+            pub.publish_run(spark, folder, date, {"gaps": numbers(spark, 50), "digest": broken(spark)})
+        assert counts(spark, folder, "gaps", "digest") == [3, 2]
+        assert pub.published_dates(spark, folder, "gaps") == [DAY]
+    # The new gaps were written, yet nobody has seen them; they go on demand, the published ones stay.
+    left = [p for p in (tmp_path / "gaps").iterdir() if p.name.startswith("run=")]
+    assert len(left) == 3
+    assert pub.remove_unpublished(spark, folder, dt.timedelta(hours=1)) == []
+    assert len(pub.remove_unpublished(spark, folder, dt.timedelta(seconds=-60))) == 4
+    assert counts(spark, folder, "gaps", "digest") == [3, 2]
+
+
+def test_failure_while_publishing_leaves_the_former_whole(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    pub.publish_run(spark, folder, DAY, {"gaps": numbers(spark, 3)})
+
+    def fails(*_):
+        raise OSError("no space left")
+
+    with monkeypatch.context() as m:
+        m.setattr(pub._Files, "write_new", fails)
+        with pytest.raises(OSError):
+            pub.publish_run(spark, folder, DAY, {"gaps": numbers(spark, 4)})
+    assert counts(spark, folder, "gaps") == [3]
+    # A crash after the manifest stands leaves a superseded folder, which goes with the next run.
+    with monkeypatch.context() as m:
+        m.setattr(pub, "remove_superseded", fails)
+        with pytest.raises(OSError):
+            pub.publish_run(spark, folder, DAY, {"gaps": numbers(spark, 5)})
+    assert counts(spark, folder, "gaps") == [5]
+    pub.publish_run(spark, folder, NEXT, {"gaps": numbers(spark, 6)})
+    runs = pub.latest_manifest(spark, folder).tables["gaps"]
+    named = {f"run={run}" for run in runs.values()}
+    held = {p.name for p in (tmp_path / "gaps").iterdir() if p.name.startswith("run=")}
+    assert named < held and len(held) == 3  # the one that never got a manifest is left
+    assert not list((tmp_path / "_manifests").glob("*.tmp"))
+
+
+def test_rerun_replaces_its_date_in_all_tables(spark, tmp_path):
+    folder = str(tmp_path)
+    for date, n in ((DAY, 3), (NEXT, 4), (NEXT, 5)):
+        paths = pub.publish_run(spark, folder, date, {"gaps": numbers(spark, n), "digest": numbers(spark, n - 3)})
+    rows = pub.read_published(spark, folder, "gaps")
+    assert rows.columns == ["row_number", "report_date"]
+    assert {r.report_date: r["count"] for r in rows.groupBy("report_date").count().collect()} == {DAY: 3, NEXT: 5}
+    assert pub.read_published(spark, folder, "digest", [DAY]).count() == 0
+    assert pub.read_published(spark, folder, "digest", [NEXT]).count() == 2
+    assert pub.read_published(spark, folder, "gaps", [dt.date(2000, 1, 1)]) is None
+    assert pub.read_published(spark, folder, "other") is None
+    assert spark.read.parquet(paths["gaps"]).count() == 5
+    assert pub.latest_published(spark, folder, "gaps", NEXT).count() == 3
+    assert pub.latest_published(spark, folder, "gaps", DAY) is None
+
+
+def test_readers_keep_the_run_they_began_with(spark, tmp_path):
+    folder = str(tmp_path)
+    pub.publish_run(spark, folder, DAY, {"gaps": numbers(spark, 3)})
+    before = pub.read_published(spark, folder, "gaps")
+    pub.publish_run(spark, folder, DAY, {"gaps": numbers(spark, 4)}, keep_superseded=True)
+    assert (before.count(), pub.read_published(spark, folder, "gaps").count()) == (3, 4)
+
+
+def test_runs_that_end_together_are_both_published(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    pub.publish_run(spark, folder, DAY, {"gaps": numbers(spark, 1)})
+    stale = pub.latest_manifest(spark, folder)
+    pub.publish_run(spark, folder, NEXT, {"gaps": numbers(spark, 2)})
+    # A run that has looked before the other published finds its number taken and looks again.
+    real, answers = pub.latest_manifest, [stale]
+    with monkeypatch.context() as m:
+        m.setattr(pub, "latest_manifest", lambda *a: answers.pop() if answers else real(*a))
+        pub._commit(spark, folder, "r", ["status"], NEXT)
+    found = pub.latest_manifest(spark, folder)
+    assert found.number == 3 and set(found.tables) == {"gaps", "status"} and len(found.tables["gaps"]) == 2
+
+
+def test_digest_run_that_fails_leaves_the_former_outputs_together(spark, sf_dir, tmp_path, monkeypatch):
+    issues, team = view(spark, sf_dir, "fx_issues"), view(spark, sf_dir, "fx_team")
+    folder = str(tmp_path)
+    jobs.run_issue_digest(issues, team, ISSUE_RULES, folder)
+    names = ("gaps", "to_list", "cc_list", "cell_flags", "digest", "status")
+    before = counts(spark, folder, *names)
+    # The digest is the fifth of six tables; by then the gaps of the new run are written.
+    with monkeypatch.context() as m:
+        m.setattr(iss, "digest_pages", lambda *_: broken(spark))
+        with pytest.raises(Exception, match="lost"):
+            jobs.run_issue_digest(issues.filter("status = 'Open'"), team, ISSUE_RULES, folder)
+    assert counts(spark, folder, *names) == before
+    status = pub.read_published(spark, folder, "status").first()
+    assert not status.is_empty and status.row_count == before[0]
+
+
+def test_approval_run_compares_with_the_last_published_report_only(spark, sf_dir, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    extract = view(spark, sf_dir, "fx_approvals").filter("approval_id < 700")
+    first = replace(APPROVAL_RULES, as_of_time=dt.datetime(2001, 6, 6, 9))
+    second = replace(APPROVAL_RULES, as_of_time=dt.datetime(2001, 6, 13, 9))
+    jobs.run_approval_report(extract.filter("approval_id < 300"), first, folder)
+    with monkeypatch.context() as m:
+        m.setattr(jobs.approvals, "unknown_templates", lambda *_: broken(spark))
+        with pytest.raises(Exception, match="lost"):
+            jobs.run_approval_report(extract, second, folder)
+    jobs.run_approval_report(extract, APPROVAL_RULES, folder)
+    report = pub.read_published(spark, folder, "report", [APPROVAL_RULES.as_of])
+    # Requests that only the failed run has seen are new.
+    assert report.filter("approval_id < 300 AND new_entity").count() == 0
+    assert report.filter("approval_id >= 300 AND NOT new_entity").count() == 0
+    assert report.count() > 0
