@@ -1,15 +1,14 @@
 """Phrase collocations by the stripes pattern.
 
-A stripe is a prefix of one or two words with an associative counter of the words that
-follow it. Each task combines the stripes of its texts before anything is shuffled;
-stripes of one prefix then meet and are merged element by element. Ends of pieces count
-towards a stripe's total, so totals are the frequencies of the prefixes themselves: of two
-words directly, of one word as the sum over its two-word prefixes. Merged elements are
-the frequencies of the extensions, and the largest of them decides whether a prefix is
-subsumed.
-
-A prefix that many different words follow has its stripes cut by a hash of the next
-word, so that no task merges all of them.
+A stripe is a word with an associative counter of what follows it: second words, and third
+words below each of them. Each task combines the stripes of its texts before anything is
+shuffled; stripes of one word then meet, sorted, and are merged element by element. Ends
+of pieces count towards totals only, so a total is the frequency of its prefix: of the word,
+and of each pair. Merged elements are the frequencies of the extensions, and the largest
+one below a pair tells whether the pair is subsumed by what begins with it.
+
+The stripes of a word with very many followers are cut by a hash of the elements, so that
+no task merges all of them; how many followers a word has is counted over all stripes first.
 """
 
 from __future__ import annotations
@@ -24,15 +23,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapledger.llm.csr import ranges
+from gapledger.llm.shingles import mix
 from gapledger.llm.staging import staged
 
 LEAST, SUBSUMED, TOP = 10, 50, 2000
-#: Elements of all stripes of a prefix above which they are cut, into parts of about so many.
-CUT_ABOVE = 200_000
+#: Elements of all stripes of a word above which they are cut, into parts of about so many.
+CUT_ABOVE = 500_000
 #: Rows of a language go through so many parallel first rounds of the ranking.
 _RANKED_APART = 64
-#: Bytes read at a time; stripes and words a task holds before it gives them out.
-_STEP, _HELD, _WORDS = 4_000_000, 3_000_000, 1 << 20
+#: Bytes read at a time; triples and words a task holds before it gives its stripes out.
+_STEP, _HELD, _WORDS = 2_000_000, 1_500_000, 1 << 19
+#: Elements of the stripes that are built or merged at a time.
+_AT_ONCE = 300_000
 _END = b"\xff"
 _WORD = re.compile(rb"[^ ]+")
 _TABLE = bytes(
@@ -106,32 +108,74 @@ class Stripes:
             return
         self._merge()
         triples, counts = self.parts[0]
-        words = pa.array([None, *list(self.words)[1:]], pa.binary())
-        step = 500_000
-        prefix = triples >> 21
-        starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]]) if len(triples) else np.zeros(0, np.int64)
-        for first in range(0, len(starts), step):
-            own = starts[first : first + step]
-            stop = starts[first + step] if first + step < len(starts) else len(triples)
-            ends = np.r_[own[1:], stop]
-            total = np.add.reduceat(counts[:stop], own)
-            # A stripe's elements stand in order, so an end comes first; it is part of the total alone.
-            from_ = own + ((triples[own] & 0x1FFFFF) == 0)
-            at = ranges(from_, ends - from_)
-            offsets = pa.array(np.r_[0, np.cumsum(ends - from_)].astype(np.int32))
-            taken = words.take(pa.array(triples[at] & 0x1FFFFF))
-            yield pa.record_batch({
-                "lang": pa.array([self.lang] * len(own), pa.string()),
-                "first": words.take(pa.array(triples[own] >> 42)),
-                "second": words.take(pa.array(triples[own] >> 21 & 0x1FFFFF)),
-                "total": pa.array(total),
-                "next": pa.ListArray.from_arrays(offsets, taken),
-                "counts": pa.ListArray.from_arrays(offsets, pa.array(counts[at])),
-            })
+        words = list(self.words)
+        first = triples >> 42
+        starts = np.flatnonzero(np.r_[True, first[1:] != first[:-1]]) if len(triples) else np.zeros(0, np.int64)
+        ends = np.r_[starts[1:], len(triples)].astype(np.int64)
+        run = 0
+        while run < len(starts):
+            stop = max(int(np.searchsorted(ends, starts[run] + _AT_ONCE, "right")), run + 1)
+            part = slice(starts[run], ends[stop - 1])
+            rows = _packed(*_elements(triples[part], counts[part]), words)
+            yield _stripe_batch([self.lang] * (stop - run), rows)
+            run = stop
         self._clear()
 
 
-_STRIPES = "lang string, first binary, second binary, total long, next array<binary>, counts array<long>"
+def _elements(triples: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted triples as pairs with totals, and the counts of their third words.
+
+    ``pair`` and ``total`` per pair, the second word 0 where the piece ends after the first;
+    ``of`` (which pair), ``third`` and ``count`` per third word, ends left out.
+    """
+    pairs = triples >> 21
+    starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+    of = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(triples)]))
+    third = triples & _MASK
+    inner = third > 0
+    return pairs[starts], np.add.reduceat(counts, starts), of[inner], third[inner], counts[inner]
+
+
+def _packed(
+    pair: np.ndarray, total: np.ndarray, of: np.ndarray, third: np.ndarray, count: np.ndarray, words: list[bytes]
+) -> list[tuple]:
+    """A row per first word: the word, its total, and its pairs with their third words as bytes.
+
+    ``words`` of a row has each second word and then its third words, between blanks.
+    """
+    first, second = pair >> 21, pair & _MASK
+    starts = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
+    widths = np.bincount(of, minlength=len(pair))
+    named = second > 0
+    # Where each second and third word stands in the sequence of all words.
+    before = np.cumsum(np.where(named, widths + 1, 0))
+    at = before - np.where(named, widths + 1, 0)
+    sequence = np.zeros(before[-1], np.int64)
+    sequence[at[named]] = second[named]
+    sequence[np.repeat(at + 1, widths) + ranges(np.zeros(len(widths), np.int64), widths)] = third
+    names = [words[i] for i in sequence.tolist()]
+    pair_ends, third_ends = np.r_[starts[1:], len(pair)], np.r_[0, np.cumsum(widths)]
+    rows = []
+    for s, e in zip(starts.tolist(), pair_ends.tolist(), strict=True):
+        kept = named[s:e]
+        rows.append((
+            words[first[s]], int(total[s:e].sum()), b" ".join(names[at[s] : before[e - 1]]),
+            widths[s:e][kept].astype("<u4").tobytes(), total[s:e][kept].astype("<u8").tobytes(),
+            count[third_ends[s] : third_ends[e]].astype("<u8").tobytes(),
+        ))
+    return rows
+
+
+def _stripe_batch(langs: list[str], rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+    kinds = (pa.binary(), pa.int64(), *[pa.binary()] * 4)
+    arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+    return pa.record_batch([pa.array(langs, pa.string()), *arrays], names=_COLUMNS)
+
+
+_MASK = 0x1FFFFF
+_COLUMNS = ["lang", "first", "total", "words", "widths", "totals", "counts"]
+_STRIPES = "lang string, first binary, total long, words binary, widths binary, totals binary, counts binary"
 
 
 def stripes(texts: DataFrame) -> DataFrame:
@@ -165,19 +209,114 @@ def stripes(texts: DataFrame) -> DataFrame:
     return texts.select("lang", "text").mapInArrow(count, _STRIPES)
 
 
-def _cut(stripe: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Stripes with ``part``: those of prefixes with very many elements cut by the next word, the others whole."""
-    hot = staged(
-        prefixes.filter(F.col("elements") > CUT_ABOVE)
-        .select("lang", "first", "second", F.ceil(F.col("elements") / CUT_ABOVE).cast("int").alias("parts"))
-    )
-    joined = stripe.join(hot, ["lang", "first", "second"], "left")
-    elements = F.arrays_zip("next", "counts")
-    own = lambda p: F.filter(elements, lambda e: F.pmod(F.xxhash64(e["next"]), F.col("parts")) == p)
-    pieces = F.when(F.col("parts").isNull(), F.array(elements)).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), own)
-    )
-    return joined.select("lang", "first", "second", F.posexplode(pieces).alias("part", "elements"))
+class _Read:
+    """Rows of stripes as arrays: ``row``, ``second`` and ``total`` per pair; ``of``, ``third`` and ``count`` per third word."""
+
+    def __init__(self, rows: pa.RecordBatch) -> None:
+        column = lambda c: rows.column(c).to_pylist()
+        texts = [w for w in column("words") if w]
+        number = _Numbers()
+        sequence = np.array([number[w] for w in b" ".join(texts).split(b" ")] if texts else [], np.int64)
+        joined = lambda c, kind: np.frombuffer(b"".join(column(c)), kind).astype(np.int64)
+        widths, self.total, self.count = joined("widths", "<u4"), joined("totals", "<u8"), joined("counts", "<u8")
+        self.words = list(number)
+        self.row = np.repeat(np.arange(rows.num_rows), [len(w) // 4 for w in column("widths")])
+        at = np.r_[0, np.cumsum(widths + 1)].astype(np.int64)
+        self.second = sequence[at[:-1]]
+        self.of = np.repeat(np.arange(len(widths)), widths)
+        self.third = np.delete(sequence, at[:-1])
+
+
+def _cut(stripe: DataFrame, followers: DataFrame) -> DataFrame:
+    """Stripes with ``part``: -1, or the part of a stripe that was cut, its word having very many followers.
+
+    A pair's total goes with the pair's hash, its third words by their own.
+    """
+    parts = F.ceil(F.col("elements") / CUT_ABOVE).cast("int").alias("parts")
+    hot = staged(followers.filter(F.col("elements") > CUT_ABOVE).select("lang", "first", parts))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                n, read = row.column("parts")[0].as_py(), _Read(row)
+                hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in read.words], np.uint64)
+                with_total = hashed[read.second] % np.uint64(n)
+                thirds = mix(hashed[read.second[read.of]] * np.uint64(3) + hashed[read.third]) % np.uint64(n)
+                for part in np.unique(np.r_[with_total, thirds]).tolist():
+                    inner = thirds == part
+                    held = with_total == part
+                    held[read.of[inner]] = True
+                    own = np.flatnonzero(held)
+                    place = np.cumsum(held) - 1
+                    totals = np.where(with_total == part, read.total, 0)[own]
+                    # The word itself is number 0 here.
+                    rows = _packed(
+                        read.second[own], totals, place[read.of[inner]], read.third[inner], read.count[inner],
+                        [row.column("first")[0].as_py(), *read.words[1:]],
+                    )
+                    out = _stripe_batch(row.column("lang").to_pylist(), rows)
+                    yield out.append_column("part", pa.array([part], pa.int32()))
+
+    keys = ["lang", "first"]
+    whole = stripe.join(hot, keys, "left_anti").withColumn("part", F.lit(-1))
+    return whole.unionByName(stripe.join(hot, keys).mapInArrow(cut, f"{_STRIPES}, part int"))
+
+
+def _merged(stripe: DataFrame, followers: DataFrame, least: int) -> DataFrame:
+    """``lang, first, second, third, f`` of pairs (``third`` null) and triples found at least ``least`` times."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        last, size = None, 0
+        for batch in batches:
+            keys = list(zip(*[batch.column(c).to_pylist() for c in ("lang", "first", "part")], strict=True))
+            sizes = np.array([len(w) // 8 for w in batch.column("counts").to_pylist()]) + 1
+            begun = 0
+            for i, key in enumerate(keys):
+                # Stripes of one word stay together, others are merged some at a time.
+                if key != last and size > _AT_ONCE:
+                    waiting.append(batch.slice(begun, i - begun))
+                    yield merged(waiting)
+                    waiting, begun, size = [], i, 0
+                last = key
+                size += sizes[i]
+            waiting.append(batch.slice(begun))
+        if waiting:
+            yield merged(waiting)
+
+    def merged(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts).combine_chunks().to_batches()
+        if not rows:
+            return pa.record_batch([pa.array([], t) for t in kinds], names=names)
+        rows = rows[0]
+        read = _Read(rows)
+        keys = list(zip(*[rows.column(c).to_pylist() for c in ("lang", "first", "part")], strict=True))
+        group = np.cumsum([a != b for a, b in zip(keys, [None, *keys], strict=False)]) - 1
+        wide = len(read.words)
+        pairs, at = np.unique(group[read.row] * wide + read.second, return_inverse=True)
+        totals = np.bincount(at, read.total, len(pairs)).astype(np.int64)
+        # Third words of a pair that is too rare are too; of a stripe that was cut, totals may be elsewhere.
+        cut = rows.column("part").to_numpy() >= 0
+        often = (totals[at] >= least)[read.of] | cut[read.row[read.of]]
+        triples, where = np.unique(at[read.of[often]] * wide + read.third[often], return_inverse=True)
+        counts = np.bincount(where, read.count[often], len(triples)).astype(np.int64)
+        enough, frequent = np.flatnonzero(totals >= least), np.flatnonzero(counts >= least)
+        of = np.r_[pairs[enough], pairs[triples[frequent] // wide]]
+        first_row = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])[of // wide]
+        words = pa.array([None, *read.words[1:]], pa.binary())
+        third = np.r_[np.zeros(len(enough), np.int64), triples[frequent] % wide]
+        return pa.record_batch([
+            rows.column("lang").take(pa.array(first_row)), rows.column("first").take(pa.array(first_row)),
+            words.take(pa.array(of % wide)), words.take(pa.array(third)), pa.array(np.r_[totals[enough], counts[frequent]]),
+        ], names=names)
+
+    names, kinds = ["lang", "first", "second", "third", "f"], (pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+    keys = ["lang", "first", "part"]
+    sorted_ = _cut(stripe, followers).repartition(*keys).sortWithinPartitions(*keys)
+    return sorted_.mapInArrow(merge, "lang string, first binary, second binary, third binary, f long")
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
@@ -208,19 +347,15 @@ def collocations(
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary").alias("text"),
     )
     stripe = staged(stripes(texts))
-    prefixes = staged(
-        stripe.groupBy("lang", "first", "second").agg(F.sum("total").alias("f"), F.sum(F.size("next")).alias("elements"))
+    elements = (F.octet_length("totals") + F.octet_length("counts")) / 8
+    followers = staged(
+        stripe.groupBy("lang", "first").agg(F.sum("total").alias("f"), F.sum(elements).cast("long").alias("elements"))
     )
-    words = staged(prefixes.groupBy("lang", "first").agg(F.sum("f").alias("f")))
-    n = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    words = words.filter(F.col("f") >= least)
-    pairs = prefixes.filter(F.col("second").isNotNull() & (F.col("f") >= least)).select("lang", "first", "second", "f")
-
-    cut = _cut(stripe, prefixes).repartition("lang", "first", "second", "part")
-    merged = cut.select("lang", "first", "second", "part", F.inline("elements")).groupBy(
-        "lang", "first", "second", "part", "next"
-    ).agg(F.sum("counts").alias("f"))
-    triples = staged(merged.filter(F.col("f") >= least).select("lang", "first", "second", F.col("next").alias("third"), "f"))
+    n = followers.groupBy("lang").agg(F.sum("f").alias("n"))
+    words = followers.filter(F.col("f") >= least).select("lang", "first", "f")
+    found = staged(_merged(stripe, followers, least))
+    pairs = found.filter(F.col("third").isNull()).drop("third")
+    triples = found.filter(F.col("third").isNotNull())
 
     longer = triples.select("lang", "first", "second", "f").union(
         triples.select("lang", F.col("second").alias("first"), F.col("third").alias("second"), "f")
