@@ -80,6 +80,9 @@ class IssueRules:
     )
     # Rows per digest page; further rows go to further pages.
     page_rows: int = 200
+    # Salts that hot assignees and folders are dealt to in lookups that are not broadcast;
+    # 0 leaves them to adaptive execution. Salting reads the facts' keys twice.
+    lookup_salts: int = 0
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,10 +17,25 @@ def clean_title(title: Column) -> Column:
     return title
 
 
+# A site code: three capitals and a digit.
+_CODE = (string.ascii_uppercase,) * 3 + (string.digits,)
+
+
+def _without(stems: tuple[str, ...]) -> str:
+    """Pattern that refuses a code with one of ``stems`` anywhere inside. A stem that fits no
+    place of a code, say for its length or its characters, refuses none."""
+    places = [
+        "." * at + stem
+        for stem in stems
+        for at in range(len(_CODE) + 1 - len(stem))
+        if all(c in _CODE[at + i] for i, c in enumerate(stem))
+    ]
+    return f"(?!{'|'.join(places)})" if places else ""
+
+
 def site_codes(title: Column, excluded_stems: tuple[str, ...]) -> Column:
-    """Distinct site codes (three capitals and a digit) in first-seen order."""
-    barred = f"(?!{'|'.join(excluded_stems)})" if excluded_stems else ""
-    codes = F.regexp_extract_all(title, F.lit(f"{barred}[A-Z]{{3}}[0-9]"), F.lit(0))
+    """Distinct site codes in first-seen order, less those that contain an excluded stem."""
+    codes = F.regexp_extract_all(title, F.lit(f"{_without(excluded_stems)}[A-Z]{{3}}[0-9]"), F.lit(0))
     return F.array_join(F.array_distinct(codes), ", ")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gapledger.config import ApprovalRules, IssueRules
 from gapledger.functions.dates import data_cut_label
 from gapledger.plans import approvals, issues, reconcile
+from gapledger.sources.extracts import DAMAGED
 from gapledger.sources.publishing import latest_published, publish_run
 from gapledger.staging import discarding, staged
 
@@ -42,10 +43,13 @@ def run_approval_report(
     previous: DataFrame | None = None,
     template: str | None = None,
     names: dict[str, str] | None = None,
+    damaged: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Write the reconciled report of ``rules.as_of``, the templates not known yet and
-    the data-cut label.
+    """Write the reconciled report of ``rules.as_of``, the templates not known yet, the
+    data-cut label with what went into it, and the damaged lines of the extract.
 
+    ``damaged`` are lines that the reader has set aside (``read_damaged_csv``); they are
+    published beside the report, and counted in ``data_cut``.
     ``previous`` is the last report as edited by hand (with ``row_pos``); without
     it the latest report published in the folder for an earlier date stands in. ``template`` and ``names`` are those
     of ``pending_approvals``.
@@ -56,10 +60,16 @@ def run_approval_report(
         previous = stored.withColumnRenamed("row_number", "row_pos")
     if previous is None:
         previous = spark.createDataFrame([], reconcile.PREVIOUS_SCHEMA)
+    if damaged is None:
+        damaged = spark.createDataFrame([], f"source_file string, {DAMAGED} string")
     cut = pending.agg(F.count(F.lit(1)).alias("row_count"))
+    set_aside = damaged.agg(F.count(F.lit(1))).scalar()
     with discarding(spark):
         return publish_run(spark, folder, rules.as_of, {
             "report": lambda: reconcile.reconcile_report(approvals.approval_report(pending, rules), previous),
             "unknown_templates": approvals.unknown_templates(pending, rules),
-            "data_cut": cut.select(data_cut_label(rules.as_of_time).alias("label"), "row_count"),
+            "data_cut": cut.select(
+                data_cut_label(rules.as_of_time).alias("label"), "row_count", set_aside.alias("damaged_count")
+            ),
+            "damaged": damaged,
         }, ordered={"report": "row_number"})

@@ -80,7 +80,7 @@ def in_kept_folders(gaps: DataFrame, folders: DataFrame, rules: IssueRules, spre
     """Rows whose folder rolls up to a reported kind or to none at all."""
     # Copies in a lookup would only multiply rows that become distinct later.
     rollups = folders.select(F.col("assignedfolderid").alias("_folder"), "folder_roll_up").distinct()
-    joined = lookup_left(gaps, rollups, "assignedfolderid", "_folder", spread_by)
+    joined = lookup_left(gaps, rollups, "assignedfolderid", "_folder", spread_by, rules.lookup_salts)
     kept = F.col("folder_roll_up").isin(list(rules.kept_rollups)) | F.col("folder_roll_up").isNull()
     return joined.filter(kept).drop("_folder", "folder_roll_up")
 
@@ -179,7 +179,7 @@ def bug_gap_rows(issues: DataFrame, team: DataFrame, rules: IssueRules) -> DataF
     return (
         lookup_left(
             measured.filter(any_gap), team.select("alias", "manager", "sr_manager"),
-            "assignee", "alias", "issueurl",
+            "assignee", "alias", "issueurl", rules.lookup_salts,
         )
         .withColumn("manager_email", identity.address(responsible, rules.mail_domain))
         .select(*GAP_COLUMNS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,38 @@ def read_approvals_csv(
     )
 
 
+DAMAGED = "damaged_line"
+
+
+def read_damaged_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """A CSV extract of which some lines may be damaged: the good rows, and the others as they stand.
+
+    A line is damaged when it has more or fewer values than the schema has columns, or one
+    that is not of its column's type. Such a line is part of the second frame, whole, beside
+    its file; the rows around it are read as ever. A header that disagrees with the schema
+    still is an error, since it puts every line in doubt.
+
+    Lines are parsed whole whatever columns are asked for later: with fewer columns parsed,
+    damage in the others would go unseen, and a line be good for one report and not for the next.
+    ``multi_line`` is that of ``read_approvals_csv``; a quote that is never closed then takes the
+    rest of its file along.
+    """
+    declared = schema or approval_schema()
+    rows = spark.read.schema(T.StructType([*declared.fields, T.StructField(DAMAGED, T.StringType())])).csv(
+        path, header=True, enforceSchema=False, multiLine=multi_line, escape='"', mode="PERMISSIVE",
+        columnNameOfCorruptRecord=DAMAGED,
+    )
+    # True of every row, but it needs all columns, which makes the reader parse all.
+    whole = F.xxhash64(*declared.names) <= F.lit(2**63 - 1)
+    rows = rows.select(*declared.names, DAMAGED, F.col("_metadata.file_path").alias("source_file")).filter(whole)
+    return (
+        rows.filter(F.col(DAMAGED).isNull()).select(*declared.names),
+        rows.filter(F.col(DAMAGED).isNotNull()).select("source_file", DAMAGED),
+    )
+
+
 def read_previous_csv(spark: SparkSession, path: str, position: str = "row_pos") -> DataFrame:
     """An earlier report as CSV without a header line, its first column ``position`` holding
     the row's place in the sheet. Lead rows (titles, headings) need not be cut off: their
@@ -64,12 +96,31 @@ def read_previous_csv(spark: SparkSession, path: str, position: str = "row_pos")
 
 
 def read_previous_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """An earlier report as one Parquet file, rows in sheet order. Of a folder with several
-    files, ``row_pos`` counts in each of them anew."""
-    rows = spark.read.parquet(path)
-    return rows.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in _previous_schema()],
-        F.col("_metadata.row_index").alias("row_pos"),
+    """An earlier report as Parquet, rows in sheet order. ``row_pos`` counts from 0 on through
+    all files of a folder, as sorted reports are written to files that follow each other by name."""
+    rows = spark.read.parquet(path).select("*", "_metadata.file_path", "_metadata.row_index")
+    placed = counted_through_files(rows, spark.read.parquet(path).select("_metadata.file_path", "_metadata.row_index"))
+    return placed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in _previous_schema()], "row_pos")
+
+
+def counted_through_files(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """``rows`` with ``row_pos``, their place among the rows of all files; the files' own
+    columns ``file_path`` and ``row_index`` go.
+
+    ``places`` has these two columns of the same files and nothing else, so that sizing the
+    files reads none of their data. No row moves: the sizes, one row per file, go to the rows.
+    """
+    sizes = places.groupBy("file_path").agg((F.max("row_index") + 1).alias("_rows"))
+    # Shorter names first, as part-99999 comes before part-100000.
+    folder, name = F.regexp_extract("file_path", "^(.*/)", 1), F.regexp_extract("file_path", "([^/]*)$", 1)
+    before = Window.orderBy(folder, F.length(name), name).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        F.col("file_path").alias("_file"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+    )
+    # As many rows as there are files, which the driver lists for any scan.
+    joined = rows.join(F.broadcast(starts), F.col("file_path") == F.col("_file"))
+    return joined.withColumn("row_pos", F.col("_start") + F.col("row_index")).drop(
+        "file_path", "row_index", "_file", "_start"
     )
 
 

@@ -215,6 +215,10 @@ def texts() -> dict[str, str]:
             WHERE template_id NOT IN ({", ".join(str(t) for t in config.KNOWN_TEMPLATES)})""",
         "distinct_join_count": f"""WITH {cte("fx_approvals")}
             SELECT approval_id, {everything}, count(*) AS count FROM fx_approvals GROUP BY approval_id""",
+        "distinct_join_by_decision": f"""WITH {cte("fx_approvals")}
+            SELECT decision, {", ".join(f"{_people_any(c)} AS {c}" for c in ("approver", "needed_on", "title"))},
+                   count(*) AS count FROM fx_approvals GROUP BY decision""",
+        "actions_merged": _actions_merged(keys),
         "approval_report": f"WITH {REPORTED} SELECT {REPORT_COLUMNS} FROM report",
         "title_clean": _title_fact("clean"),
         "title_sites": _title_fact("site"),
@@ -258,6 +262,26 @@ def texts() -> dict[str, str]:
     }
 
 
+def _actions_merged(keys: str) -> str:
+    """One grouped frame per action and one of need-by texts, joined by full outer joins."""
+    actions = {"pending": "Pending", "pending_in_future": "Pending in future", "approved": "Approved",
+               "approved_with_condition": "Approved with condition"}
+    known = " AND ".join(f"{k} IS NOT NULL" for k in keys.split(", "))
+    frames = [
+        f"""{column} AS (SELECT {keys}, count(DISTINCT approver) AS {column}_people,
+              min(needed_on) AS {column}_first_needed_on FROM pending_rows
+              WHERE decision = '{action}' AND {known} GROUP BY ALL)"""
+        for column, action in actions.items()
+    ]
+    needed = f"""needed AS (SELECT {keys}, coalesce(array_to_string(list_sort(list(DISTINCT needed_on)
+              FILTER (WHERE needed_on IS NOT NULL)), ' | '), '') AS needed_by FROM pending_rows
+              WHERE {known} GROUP BY ALL)"""
+    shown = ", ".join(f"{c}_people, {c}_first_needed_on, {c}_people IS NOT NULL AS in_{c}" for c in actions)
+    joins = " ".join(f"FULL JOIN {c} USING ({keys})" for c in [*list(actions)[1:], "needed"])
+    return f"""WITH {APPROVALS}, {", ".join(frames)}, {needed}
+            SELECT {keys}, {shown}, needed_by, needed_by IS NOT NULL AS in_needed FROM pending {joins}"""
+
+
 def _people_any(column: str) -> str:
     return (
         f"coalesce(array_to_string(list_sort(list(DISTINCT {column}) FILTER (WHERE {column} IS NOT NULL)), ','), '')"

@@ -118,16 +118,20 @@ def texts() -> dict[str, str]:
     scoped = f"WITH {SCOPED}"
     issues = f"WITH {ISSUES}"
     all_gaps = f"{resolved} SELECT * FROM gaps ORDER BY {ORDER}"
+    assignees = f"""{scoped} SELECT assignee, assignee || {DOMAIN} AS assignee_email
+            FROM short WHERE assignee IS NOT NULL GROUP BY assignee"""
     return {
         "resolved_bug_gaps": all_gaps,
         "named_resolved_bug_gaps": all_gaps,
+        "resolved_bug_gaps_salted": all_gaps,
+        "missing_mandatory_fields_salted": f"{scoped} {MISSING_FIELDS}",
+        "assignee_recipients_salted": assignees,
         "current_sprint": f"""WITH {cte("fx_sprints")}, {SPRINT}
             SELECT sprint_id AS current_sprint_id, start_date AS current_sprint_start_date,
                    end_date AS current_sprint_end_date FROM sprint""",
         "missing_mandatory_fields": f"{scoped} {MISSING_FIELDS}",
         "missing_mandatory_fields_exact_label": f"WITH {SCOPED_EXACT} {MISSING_FIELDS}",
-        "assignee_recipients": f"""{scoped} SELECT assignee, assignee || {DOMAIN} AS assignee_email
-            FROM short WHERE assignee IS NOT NULL GROUP BY assignee""",
+        "assignee_recipients": assignees,
         "manager_recipients": f"""{scoped}, {cte("fx_team")}
             SELECT DISTINCT CASE WHEN t.alias = t.manager THEN sr_manager ELSE t.manager END AS manager,
                    CASE WHEN t.alias = t.manager THEN sr_manager ELSE t.manager END || {DOMAIN} AS manager_email

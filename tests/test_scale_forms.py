@@ -1,0 +1,251 @@
+"""Forms for large or damaged input: salted lookups, wide sets, outer merges, many files, bad lines."""
+
+from __future__ import annotations
+
+import datetime as dt
+import itertools
+import re
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from gapledger import jobs
+from gapledger.functions import titles
+from gapledger.operators.grouping import distinct_join_count, distinct_join_wide
+from gapledger.operators.joins import hot_keys, lookup_left, outer_merge
+from gapledger.plans import issues as iss
+from gapledger.plans import reconcile as rec
+from gapledger.sources import extracts, snapshots
+from gapledger.sources import publishing as pub
+from gapledger.sources.fixtures import APPROVAL_RULES, ISSUE_RULES, view
+from tests.test_joins_grouping import facts, lookup
+
+NO_HELP = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__enabled": "false",
+    "spark__sql__shuffle__partitions": "40",
+}
+
+
+# Hot keys.
+
+
+def _per_task(joined, condition):
+    return sorted(r["count"] for r in joined.filter(condition).groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_hot_keys_are_split_without_adaptive_execution(spark, settings):
+    settings(**NO_HELP)
+    plain, salted = (lookup_left(facts(spark), lookup(spark), "k", "lk", "id", salts) for salts in (0, 32))
+    as_rows = lambda df: sorted((r.id, r.v) for r in df.select("id", F.coalesce("v", F.lit(-9)).alias("v")).collect())
+    assert as_rows(plain) == as_rows(salted) and salted.columns == ["id", "k", "lk", "v"]
+    # A third of 60,000 rows has one key: one task has them all, or none has many.
+    assert _per_task(plain, "k = 'hot'") == [20_000]
+    spread = _per_task(salted, "k = 'hot'")
+    assert len(spread) > 15 and max(spread) < 3_000
+    assert max(_per_task(salted, "true")) < 60_000 / 40 * 3
+
+
+def test_hot_rows_of_a_lookup_are_copied_once_per_salt(spark, settings):
+    settings(**NO_HELP)
+    left = spark.range(9_000).select(F.col("id"), F.lit("x").alias("k"))
+    right = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3), (None, 4)], "lk string, v int")
+    joined = lookup_left(left, right, "k", "lk", "id", 4)
+    assert sorted((r.v, r["count"]) for r in joined.groupBy("v").count().collect()) == [(1, 9_000), (2, 9_000)]
+
+
+def test_only_frequent_keys_are_hot(spark):
+    rows = facts(spark)
+    assert rows.select(hot_keys(rows, "k", 8).alias("h")).first().h == ["hot"]
+    even = spark.range(5_000).select((F.col("id") % 1_000).alias("k"))
+    assert even.select(hot_keys(even, "k", 8).alias("h")).first().h == []
+    none = rows.filter("k IS NULL")
+    assert none.select(hot_keys(none, "k", 8).alias("h")).first().h == []
+    joined = lookup_left(none, lookup(spark), "k", "lk", "id", 8)
+    assert joined.filter("v IS NULL").count() == none.count()
+    with pytest.raises(ValueError):
+        hot_keys(rows, "k", 1)
+
+
+def test_hot_assignees_and_folders_of_the_issue_reports(spark, sf_dir, settings):
+    settings(**NO_HELP)
+    issues = view(spark, sf_dir, "fx_issues")
+    team, folders, sprints = (view(spark, sf_dir, f"fx_{n}") for n in ("team", "folders", "sprints"))
+    someone = team.filter("manager IS NOT NULL").first().alias
+    hot = issues.withColumn(
+        "assigneeidentity",
+        F.when(F.crc32("issueid") % 3 == 0, ISSUE_RULES.realm_prefix + someone + ISSUE_RULES.realm_suffix)
+        .otherwise(F.col("assigneeidentity")),
+    )
+    salted = replace(ISSUE_RULES, lookup_salts=16)
+    as_rows = lambda df: sorted(map(str, df.collect()))
+    assert as_rows(iss.resolved_bug_gaps(hot, team, salted)) == as_rows(iss.resolved_bug_gaps(hot, team, ISSUE_RULES))
+    for report in (iss.missing_mandatory_fields, iss.assignee_recipients):
+        assert as_rows(report(hot, folders, sprints, salted)) == as_rows(report(hot, folders, sprints, ISSUE_RULES))
+    # What such a lookup makes of the hot assignee, over all issues.
+    people = hot.select("issueurl", iss._assignee(ISSUE_RULES).alias("assignee"))
+    joined = lookup_left(people, team.select("alias", "manager"), "assignee", "alias", "issueurl", 16)
+    spread = _per_task(joined, F.col("assignee") == someone)
+    assert sum(spread) > 50 and max(spread) < 0.4 * sum(spread)
+
+
+# Wide sets.
+
+
+@pytest.mark.parametrize("part_values", [1, 2, 1_000])
+def test_wide_sets_equal_the_plain_ones(spark, part_values):
+    rows = [("x", "b", 1), ("x", "a", 2), ("x", "b", None), ("x", "", 10), ("y", None, 3), (None, "z", 3), (None, "y", 3)]
+    df = spark.createDataFrame(rows, "k string, c string, d int")
+    wide = distinct_join_wide(df, ["k"], ["c", "d"], part_values=part_values)
+    plain = distinct_join_count(df, ["k"], ["c", "d"])
+    as_rows = lambda found: sorted(map(str, found.select("k", "c", "d", "count").collect()))
+    assert as_rows(wide) == as_rows(plain)
+    assert wide.columns == plain.columns
+    assert distinct_join_wide(df.limit(0), ["k"], ["c"]).count() == 0
+
+
+def test_a_key_with_a_million_values(spark):
+    n = 1_000_000
+    df = spark.range(2 * n).select(F.lit("hot").alias("k"), F.format_string("%07d", F.col("id") % n).alias("v"))
+    df = df.union(spark.createDataFrame([("cold", "1")], "k string, v string"))
+    found = distinct_join_wide(df, ["k"], ["v"]).select(
+        "k", "count", F.length("v").alias("size"), F.left("v", F.lit(23)).alias("begin"), F.right("v", F.lit(7)).alias("end")
+    )
+    rows = {r.k: tuple(r)[1:] for r in found.collect()}
+    assert rows["hot"] == (2 * n, 8 * n - 1, "0000000,0000001,0000002", f"{n - 1:07d}")
+    assert rows["cold"] == (1, 1, "1", "1")
+    plan = distinct_join_wide(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in plan
+
+
+# Outer merges.
+
+
+def _merged(frames, keys, keyless_apart):
+    """Brute force over lists of (key, values); a null key matches a null or nothing."""
+    out = {}
+    for name, rows in frames.items():
+        for place, (key, value) in enumerate(rows):
+            at = (key, (name, place) if keyless_apart and key is None else None)
+            out.setdefault(at, {})[name] = value
+    return sorted(((k[0], *[v.get(n) for n in frames], *[n in v for n in frames]) for k, v in out.items()), key=str)
+
+
+@pytest.mark.parametrize("spread", [None, "v"])
+def test_outer_merge(spark, spread):
+    frames = {
+        "one": [("a", 1), ("b", 2), (None, 3)], "two": [("b", 20), ("c", None), (None, 30)], "three": [("a", 100)],
+        "four": [],
+    }
+    made = {n: spark.createDataFrame(r, "k string, v int") for n, r in frames.items()}
+    found = outer_merge(made, ["k"], spread)
+    assert found.columns == ["k", *[f"{n}_v" for n in frames], *[f"in_{n}" for n in frames]]
+    assert sorted((tuple(r) for r in found.collect()), key=str) == _merged(frames, ["k"], spread is not None)
+
+
+def test_outer_merge_scatters_rows_without_key(spark, settings):
+    settings(**NO_HELP)
+    one = spark.range(20_000).select(F.when(F.col("id") < 100, F.col("id")).alias("k"), F.col("id").alias("v"))
+    two = spark.range(50, 150).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    merged = outer_merge({"one": one, "two": two}, ["k"], "v")
+    assert merged.count() == 20_000 + 50
+    assert max(_per_task(merged, "k IS NULL")) < 20_000 / 40 * 2
+    assert {tuple(r) for r in merged.groupBy("in_one", "in_two").count().collect()} == {
+        (True, True, 50), (True, False, 19_950), (False, True, 50)}
+    # One shuffle for all frames.
+    plan = outer_merge({"one": one, "two": two, "three": two}, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("Exchange hashpartitioning", plan)) == 1 and "Join" not in plan
+
+
+# Positions over several files.
+
+
+def _report(spark, n):
+    """Sorted by place; every request twice, further down with another region."""
+    link = F.format_string('=HYPERLINK("https://a.example.org/%d", %d)', F.col("id") % (n // 2) + 1, F.col("id") % (n // 2) + 1)
+    return spark.range(n).select(
+        F.col("id").alias("row_number"), link.alias("approval_link"),
+        F.when(F.col("id") < n // 2, "first").otherwise("later").alias("region"),
+        *[F.lit("t").alias(c) for c in ("plan_year", "request_type", "clean_title")], F.lit(1.0).alias("amount_mm"),
+    )
+
+
+def test_positions_go_on_from_file_to_file(spark, tmp_path, settings):
+    settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="7")
+    n = 400
+    snapshots.write_snapshot(_report(spark, n), str(tmp_path / "many"), dt.date(2022, 11, 23), "row_number")
+    _report(spark, n).coalesce(1).sortWithinPartitions("row_number").write.parquet(str(tmp_path / "one"))
+    assert len(list((tmp_path / "many").rglob("*.parquet"))) > 3
+    read = {name: extracts.read_previous_parquet(spark, str(tmp_path / name)) for name in ("many", "one")}
+    for rows in read.values():
+        assert sorted(r.row_pos for r in rows.collect()) == list(range(n))
+    as_rows = lambda df: sorted(map(str, df.select("approval_id", "region", "row_pos").collect()))
+    first = {name: rec.previous_by_request(rows) for name, rows in read.items()}
+    assert as_rows(first["many"]) == as_rows(first["one"])
+    assert first["many"].filter("region <> 'first'").count() == 0 and first["many"].count() == n // 2
+    # Sizing the files reads none of their columns.
+    assert "ReadSchema: struct<_tmp_metadata_row_index:bigint>" in read["many"]._jdf.queryExecution().toString()
+
+
+def test_files_follow_each_other_by_number(spark):
+    rows = spark.createDataFrame(
+        [("f:/d/part-100000-x", 0), ("f:/d/part-99999-x", 0), ("f:/d/part-99999-x", 1), ("f:/c/part-5-x", 0)],
+        "file_path string, row_index long",
+    )
+    found = extracts.counted_through_files(rows.withColumn("t", F.concat("file_path", F.lit("#"), "row_index")), rows)
+    assert found.columns == ["t", "row_pos"]
+    assert {r.t: r.row_pos for r in found.collect()} == {
+        "f:/c/part-5-x#0": 0, "f:/d/part-99999-x#0": 1, "f:/d/part-99999-x#1": 2, "f:/d/part-100000-x#0": 3}
+
+
+# Damaged lines.
+
+HEADER = "approval_id,title,needed_on,decision,approver,status,template_id,role\n"
+GOOD = '{},"NA, $5M startup",12-01-2001 05:00:00,Pending,"Lead, A",Pending,39820,APPROVER\n'
+BAD = ["x1,no number,,,,Pending,7394,APPROVER\n", "7,too,few\n", "8,a,b,c,d,e,1,f,too many\n", "9,t,,,,Pending,odd,APPROVER\n"]
+
+
+def test_damaged_lines_are_set_aside_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + GOOD.format(1) + BAD[0] + BAD[1] + GOOD.format(2))
+    (tmp_path / "b.csv").write_text(HEADER + BAD[2] + GOOD.format(3) + BAD[3])
+    good, bad = extracts.read_damaged_csv(spark, str(tmp_path / "*.csv"))
+    assert good.columns == extracts.approval_schema().names
+    assert sorted(r.approval_id for r in good.collect()) == [1, 2, 3]
+    found = {(r.source_file.rsplit("/")[-1], r.damaged_line + "\n") for r in bad.collect()}
+    assert found == {("a.csv", BAD[0]), ("a.csv", BAD[1]), ("b.csv", BAD[2]), ("b.csv", BAD[3])}
+    # Whatever columns are asked for, the same lines are good.
+    for column, n in itertools.product(good.columns, [3]):
+        assert good.select(column).count() == n, column
+    assert bad.select("source_file").count() == 4
+    (tmp_path / "c.csv").write_text("approval_id,wrong\n1,x\n")
+    with pytest.raises(Exception):
+        extracts.read_damaged_csv(spark, str(tmp_path / "c.csv"))[0].collect()
+
+
+def test_report_of_an_extract_with_damaged_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + GOOD.format(1) + "".join(BAD) + GOOD.format(2))
+    good, bad = extracts.read_damaged_csv(spark, str(tmp_path / "a.csv"))
+    folder = str(tmp_path / "out")
+    jobs.run_approval_report(good, APPROVAL_RULES, folder, damaged=bad)
+    cut = pub.read_published(spark, folder, "data_cut").first()
+    assert (cut.row_count, cut.damaged_count) == (2, 4)
+    assert {r.approval_id for r in pub.read_published(spark, folder, "report").collect()} == {1, 2}
+    assert {r.damaged_line for r in pub.read_published(spark, folder, "damaged").collect()} == {b.strip() for b in BAD}
+    jobs.run_approval_report(good, APPROVAL_RULES, folder)
+    assert pub.read_published(spark, folder, "data_cut").first().damaged_count == 0
+    assert pub.read_published(spark, folder, "damaged").count() == 0
+
+
+# Site codes.
+
+
+@pytest.mark.parametrize("stems", [(), ("ARS", "TNS"), ("RS",), ("A",), ("S4",), ("B7",), ("A.S", "(", "[A-Z]", "ARS45"), ("",), ("4",)])
+def test_excluded_stems_anywhere_in_a_code(spark, stems):
+    texts = ["ARS4 ABC1", "xTNS1TNSA2", "BRS4-QARS4", "ABC1ABC1 XYZ9", "A.S4 AAS4(", "", "BB7 ABB7", "ARS45 RS4", "ABCD1EFG2"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in rows.select(titles.site_codes(F.col("t"), stems)).collect()]
+    expected = [
+        ", ".join(dict.fromkeys(c for c in re.findall("[A-Z][A-Z][A-Z][0-9]", t) if not any(s in c for s in stems)))
+        for t in texts
+    ]
+    assert found == expected
