@@ -11,6 +11,9 @@ for each combination of kind, votes and features, reach the driver.
 Patterns and positions are found by built-in functions alone: between the matches that
 ``regexp_extract_all`` gives lie the parts that ``split`` gives, and their lengths are
 the positions.
+
+Proposed emails have a name and a first label of 2 to 40 characters and further labels of
+2 to 10; context is what stands in the 40 characters before a span, back to the match before.
 """
 
 from __future__ import annotations
@@ -27,10 +30,12 @@ KINDS = ("email", "ip", "card", "phone")
 
 # Each finds the same as the plain pattern in its comment, but starts at one place of a run
 # only, so long runs cost no more than their length; \G is where the match before ended.
+# Repeated groups are possessive: Java runs through these in a loop, through others by
+# recursion, which a name of some thousand labels would end.
 _LOCAL = r"[A-Za-z0-9._%+-]"
 BASE = {
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
-    "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
     "ip": r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++",
     # [0-9]([\x20-]?[0-9])+, those of 14 to 19 digits
@@ -39,7 +44,7 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 PROPOSED = {
-    "email": r"(?i)\b[a-z0-9._-]{2,40} ?[\[(]at[\])] ?[a-z0-9-]{2,40}(?: ?(?:\.|[\[(]dot[\])]) ?[a-z]{2,10})+\b",
+    "email": r"(?i)\b[a-z0-9._-]{2,40} ?[\[(]at[\])] ?[a-z0-9-]{2,40}(?: ?(?:\.|[\[(]dot[\])]) ?[a-z]{2,10}+\b)++",
     "phone": r"(?<![0-9+().-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9-])",
 }
 #: What a text, for proposed spans in lower case, must contain for a pattern to be tried at all.
