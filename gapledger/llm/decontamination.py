@@ -138,7 +138,8 @@ def find_items(words: np.ndarray, items: Items, similarity: float) -> dict[int,
                 sets: dict[int, np.ndarray] = {}
                 for start, print_ in zip(starts.tolist(), fingerprints(near, starts, width), strict=True):
                     for n in items.index.near(print_).tolist():
-                        if min(WORDS, items.words[n]) != size:
+                        # An item is sought in windows of its own width alone, whatever else is near.
+                        if min(WORDS, items.words[n]) != size or min(items.words[n] - size + 1, len(values)) != width:
                             continue
                         if start not in sets:
                             sets[start] = as_set(near[start : start + width])
