@@ -129,16 +129,32 @@ def _parse(data: bytes, start: int) -> Record:
     return Record(start, end + len(_END), fields, block)
 
 
+#: Bytes of a member given to the inflater at a time, and what it may make of a whole one.
+_PIECE, _MOST_INFLATED = 1 << 16, (1 << 31) - 1
+
+
 def _member(data: bytes, start: int) -> list[Record]:
-    """The records of the gzip member at ``start``; all carry the member's place."""
-    inflate = zlib.decompressobj(31)
+    """The records of the gzip member at ``start``; all carry the member's place.
+
+    A member takes time by its own length, whatever follows it; one that inflates to more
+    than a file may hold is damaged.
+    """
+    inflate, view, fed = zlib.decompressobj(31), memoryview(data), start
+    parts, size = [], 0
     try:
-        plain = inflate.decompress(data[start:])
+        while not inflate.eof and fed < len(data):
+            piece = view[fed : fed + _PIECE]
+            parts.append(inflate.decompress(piece, _MOST_INFLATED - size + 1))
+            fed += len(piece)
+            size += len(parts[-1])
+            if size > _MOST_INFLATED:
+                raise _Damaged("gzip member inflates to too much")
     except zlib.error as error:
         raise _Damaged("gzip member fails its check") from error
     if not inflate.eof:
         raise _Damaged("gzip member is cut off")
-    end, records, at = len(data) - len(inflate.unused_data), [], 0
+    plain = b"".join(parts)
+    end, records, at = fed - len(inflate.unused_data), [], 0
     while at < len(plain):
         record = _parse(plain, at)
         at = record.end
@@ -189,12 +205,15 @@ def _row(path: str, r: Record, with_payload: bool) -> dict:
     http, _, payload = r.block.partition(_END)
     declared = [x for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
     stored = r.fields["warc-type"] != "revisit"
+    length = declared[0].split(b":")[1].strip() if declared else b"0"
+    if not stored and not length.isdigit():
+        return row | {"quarantined": "revisit declares no length"}
     digest = r.fields.get("warc-payload-digest", "").lower().removeprefix("sha1:")
     return row | {
         "record_id": r.fields["warc-record-id"], "record_type": r.fields["warc-type"],
         "refers_to": r.fields.get("warc-refers-to"), "target_uri": r.fields.get("warc-target-uri"),
         # A revisit has no payload of its own; its HTTP header and digest tell of the full one.
-        "payload_bytes": len(payload) if stored else int(declared[0].split(b":")[1]) if declared else None,
+        "payload_bytes": len(payload) if stored else int(length) if declared else None,
         "payload_digest": hashlib.sha1(payload).hexdigest() if stored else digest,
         "payload": payload if stored and with_payload else None,
     }
