@@ -10,7 +10,7 @@ from gapledger.functions import dates, titles
 from gapledger.functions.amounts import with_amount
 from gapledger.operators.columns import renamed, with_default
 from gapledger.operators.grouping import distinct_join, distinct_values, values_not_in
-from gapledger.operators.numbering import number_rows
+from gapledger.operators.numbering import number_rows, number_rows_lazily
 from gapledger.sources.extracts import approval_link
 
 # The id comes first: it tells most groups apart when keys are compared.
@@ -214,14 +214,25 @@ def unnumbered_report(pending: DataFrame, rules: ApprovalRules) -> DataFrame:
     return _shown(sorted_by, rules).select(*_report_columns(rules))
 
 
-def approval_report(pending: DataFrame, rules: ApprovalRules) -> DataFrame:
+# The columns of ``report_order`` that have few values.
+_LEADING = {
+    "queue": Column.desc, "request_type": Column.asc_nulls_last, "region_rank": Column.asc, "plan_year": Column.asc,
+    "template_id": Column.asc,
+}
+
+
+def approval_report(pending: DataFrame, rules: ApprovalRules, lazy: bool = False) -> DataFrame:
     """The numbered report. Write it ordered by ``row_number``.
 
     Only what the order needs is worked out before the sort, which reads its
-    input twice (once to sample it); the rest follows on the numbered rows.
+    input twice (once to sample it); the rest follows on the numbered rows. That sort is
+    an action, unless ``lazy``: the plan then runs nothing by itself and reads more often.
     """
     requests = with_sort_facts(awaited_requests(pending, rules), rules).withColumn(
         "region_rank", titles.region_rank(F.col("region"), rules, REGION_RANK_FALLBACK)
     )
-    numbered = number_rows(requests, report_order(), "row_number")
+    if lazy:
+        numbered = number_rows_lazily(requests, _LEADING, report_order()[len(_LEADING):], "row_number", "approval_id")
+    else:
+        numbered = number_rows(requests, report_order(), "row_number")
     return _shown(numbered, rules).select("row_number", *_report_columns(rules))

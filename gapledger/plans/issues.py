@@ -10,7 +10,7 @@ from gapledger.functions import dates, identity, labels
 from gapledger.operators.digest import cell_flags, digest_pages
 from gapledger.operators.grouping import first_seen
 from gapledger.operators.joins import lookup_left
-from gapledger.operators.numbering import number_rows
+from gapledger.operators.numbering import number_rows, number_rows_lazily
 
 METRICS = (
     "missing_labels", "missing_dates", "missing_effort", "missing_root_cause", "missing_comments",
@@ -200,11 +200,17 @@ def resolved_bug_gaps(issues: DataFrame, team: DataFrame, rules: IssueRules) ->
     return bug_gap_rows(issues, team, rules).orderBy(*report_order())
 
 
-def bug_gap_to_list(gap_rows: DataFrame, rules: IssueRules) -> DataFrame:
-    """Assignee addresses in order of appearance, which is assignee order."""
+def bug_gap_to_list(gap_rows: DataFrame, rules: IssueRules, lazy: bool = False) -> DataFrame:
+    """Assignee addresses in order of appearance, which is assignee order. ``lazy``: no job
+    runs while the plan is built; names are then numbered by their first three characters."""
     people = gap_rows.filter(F.col("assignee").isNotNull()).select("assignee").distinct()
     addressed = people.select(identity.address(F.col("assignee"), rules.mail_domain).alias("address"), "assignee")
-    return number_rows(addressed, [F.col("assignee").asc()], "list_order").select("list_order", "address")
+    if lazy:
+        begun = addressed.withColumn("begin", F.left("assignee", F.lit(3)))
+        numbered = number_rows_lazily(begun, {"begin": Column.asc}, [F.col("assignee").asc()], "list_order")
+    else:
+        numbered = number_rows(addressed, [F.col("assignee").asc()], "list_order")
+    return numbered.select("list_order", "address")
 
 
 def bug_gap_cc_list(gap_rows: DataFrame, rules: IssueRules) -> DataFrame:

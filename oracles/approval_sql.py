@@ -194,6 +194,17 @@ def texts() -> dict[str, str]:
     everything = ", ".join(
         f"{_people_any(c)} AS {c}" for c in ("decision", "approver", "status", "role")
     )
+    whole = f"""{reconciled}
+        SELECT r.* EXCLUDE (region, plan_year, request_type, clean_title, amount_mm, need_by, need_by_date),
+               r.need_by_date AS need_by,
+               if(p.request IS NULL, r.region, p.region) AS region,
+               if(p.request IS NULL, r.plan_year, p.plan_year) AS plan_year,
+               if(p.request IS NULL, r.request_type, p.request_type) AS request_type,
+               if(p.request IS NULL, r.clean_title, p.clean_title) AS clean_title,
+               if(p.request IS NULL, r.amount_mm, p.amount_mm) AS amount_mm,
+               p.request IS NULL AS new_entity,
+               if(coalesce({CHANGED}, FALSE), 'Yes', 'No') AS is_new_amount, r.amount_mm AS new_amount_mm
+        FROM report r LEFT JOIN first_rows p ON p.request = r.approval_id"""
     return {
         "pending_approvals": f"WITH {APPROVALS} SELECT * FROM pending_rows",
         "pending_approvals_renamed": f"WITH {APPROVALS} SELECT * FROM pending_rows",
@@ -220,6 +231,7 @@ def texts() -> dict[str, str]:
                    count(*) AS count FROM fx_approvals GROUP BY decision""",
         "actions_merged": _actions_merged(keys),
         "approval_report": f"WITH {REPORTED} SELECT {REPORT_COLUMNS} FROM report",
+        "approval_report_lazy": f"WITH {REPORTED} SELECT {REPORT_COLUMNS} FROM report",
         "title_clean": _title_fact("clean"),
         "title_sites": _title_fact("site"),
         "title_building_types": _title_fact("building_type"),
@@ -248,17 +260,8 @@ def texts() -> dict[str, str]:
             SELECT r.approval_id, r.template_id, r.original_title, r.amount_mm, p.amount_mm AS previous_amount_mm,
                    coalesce({CHANGED}, FALSE) AS is_new_amount
             FROM report r JOIN first_rows p ON p.request = r.approval_id""",
-        "reconcile_report": f"""{reconciled}
-            SELECT r.* EXCLUDE (region, plan_year, request_type, clean_title, amount_mm, need_by, need_by_date),
-                   r.need_by_date AS need_by,
-                   if(p.request IS NULL, r.region, p.region) AS region,
-                   if(p.request IS NULL, r.plan_year, p.plan_year) AS plan_year,
-                   if(p.request IS NULL, r.request_type, p.request_type) AS request_type,
-                   if(p.request IS NULL, r.clean_title, p.clean_title) AS clean_title,
-                   if(p.request IS NULL, r.amount_mm, p.amount_mm) AS amount_mm,
-                   p.request IS NULL AS new_entity,
-                   if(coalesce({CHANGED}, FALSE), 'Yes', 'No') AS is_new_amount, r.amount_mm AS new_amount_mm
-            FROM report r LEFT JOIN first_rows p ON p.request = r.approval_id""",
+        "reconcile_report": whole,
+        "reconcile_report_lazy": whole,
     }
 
 

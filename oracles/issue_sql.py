@@ -120,6 +120,9 @@ def texts() -> dict[str, str]:
     all_gaps = f"{resolved} SELECT * FROM gaps ORDER BY {ORDER}"
     assignees = f"""{scoped} SELECT assignee, assignee || {DOMAIN} AS assignee_email
             FROM short WHERE assignee IS NOT NULL GROUP BY assignee"""
+    listed = f"""{resolved}
+            SELECT row_number() OVER (ORDER BY assignee) AS list_order, assignee || {DOMAIN} AS address
+            FROM (SELECT DISTINCT assignee FROM gaps WHERE assignee IS NOT NULL)"""
     return {
         "resolved_bug_gaps": all_gaps,
         "named_resolved_bug_gaps": all_gaps,
@@ -136,9 +139,8 @@ def texts() -> dict[str, str]:
             SELECT DISTINCT CASE WHEN t.alias = t.manager THEN sr_manager ELSE t.manager END AS manager,
                    CASE WHEN t.alias = t.manager THEN sr_manager ELSE t.manager END || {DOMAIN} AS manager_email
             FROM short LEFT JOIN fx_team t ON t.alias = assignee WHERE t.manager IS NOT NULL""",
-        "bug_gap_to_list": f"""{resolved}
-            SELECT row_number() OVER (ORDER BY assignee) AS list_order, assignee || {DOMAIN} AS address
-            FROM (SELECT DISTINCT assignee FROM gaps WHERE assignee IS NOT NULL)""",
+        "bug_gap_to_list": listed,
+        "bug_gap_to_list_lazy": listed,
         "bug_gap_cc_list": f"""{resolved},
             sheet AS (SELECT manager_email, row_number() OVER (ORDER BY {ORDER}) AS n FROM gaps),
             listed AS (SELECT manager_email AS address, n FROM sheet WHERE manager_email IS NOT NULL
