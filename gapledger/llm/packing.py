@@ -1,7 +1,7 @@
 """Best-fit packing of tokenised documents into sequences.
 
 Documents are tokenised where they are read; only the pieces' lengths travel. The
-pieces are dealt by hash into shards of about ``shard_pieces``, so a very long
+pieces are dealt by their place into shards of about ``shard_pieces``, so a very long
 document or a hot source is spread like the rest, and each shard is packed by
 best-fit decreasing: pieces from long to short, each into the tightest open
 sequence, found in a segment tree over remaining capacities. A shard leaves about one
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from gapledger.llm.bpe import load_core, load_tokenizer
 from gapledger.llm.staging import staged
+from gapledger.llm.text import free_name
 from gapledger.llm.workers import worker_memo
 
 CAPACITY = 2048
@@ -143,14 +144,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     ``length`` is 1 to ``capacity``. Rows are told apart by nothing but their place, so
     repeated ones are packed each. An empty table gives an empty one.
     """
-    pieces = staged(pieces)
-    shards = max(1, -(-pieces.count() // shard_pieces))
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(*pieces.columns), F.lit(shards)))
+    place = free_name(pieces, "_place")
+    placed = staged(pieces.withColumn(place, F.monotonically_increasing_id()))
+    shards = max(1, -(-placed.count() // shard_pieces))
+    # By place, so that rows that are the same in all columns are spread like others.
+    dealt = placed.withColumn("_shard", F.pmod(F.xxhash64(place), F.lit(shards)))
 
     def pack_shard(table: pa.Table) -> pa.Table:
         sequence, offset = best_fit_decreasing(table["length"].to_numpy(), capacity)
         shard = table["_shard"].to_numpy().astype(np.int64) << _SHARD_BITS
-        table = table.drop_columns(["_shard"])
+        table = table.drop_columns(["_shard", place])
         return table.append_column("sequence_id", pa.array(shard | sequence)).append_column("offset", pa.array(offset))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
