@@ -279,7 +279,8 @@ def repeated_strings(
         full = full.filter(~place.eqNullSafe(F.col("first")))
     end = (F.col("high") + length).cast("long").alias("end")
     full = full.select("id", "h", F.col("low").cast("long").alias("start"), end)
-    full = full.groupBy("id", "h").agg(F.collect_list(F.struct("start", "end")).alias("full"))
+    # As sets: rows that repeat id and text have the same spans, which each of them gets once.
+    full = full.groupBy("id", "h").agg(F.collect_set(F.struct("start", "end")).alias("full"))
     single = kinds.join(of_anchor, "a").select(
         "first.id", "first.h", F.struct("a", "c", "first.low", "first.high").alias("run"), "kinds"
     )
@@ -305,7 +306,7 @@ def repeated_strings(
         many = _run_bytes(once.withColumn("runs", pick(True)), length)
         spans = spans.union(_hot_spans(many, keep_first, length))
     spans = spans.groupBy(F.col("id").alias("of"), F.col("h").alias("of_h")).agg(
-        F.collect_list(F.struct("start", "end")).alias("more")
+        F.collect_set(F.struct("start", "end")).alias("more")
     )
     marked = touched.join(spans, F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left")
     nothing = F.array().cast("array<struct<start:bigint,end:bigint>>")
