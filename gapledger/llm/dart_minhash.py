@@ -78,26 +78,3 @@ def band_hashes(signatures: np.ndarray, rows: int) -> np.ndarray:
     for i in range(rows):
         joined = mix(joined * _CELL + parts[:, :, i])
     return joined
-
-
-def nibbles(signatures: np.ndarray) -> np.ndarray:
-    """The low four bits of each coordinate, sixteen to a word; what is missing in the last is 0."""
-    sets, k = signatures.shape
-    low = np.zeros((sets, -(-k // 16) * 16), np.uint64)
-    low[:, :k] = signatures & np.uint64(15)
-    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
-    return np.bitwise_or.reduce(low.reshape(sets, -1, 16) << shifts, axis=2)
-
-
-def most_differing(similarity: float, k: int, missed: float) -> int:
-    """How many of ``k`` nibbles may differ so that at most a share ``missed`` of the pairs at ``similarity`` differ in more."""
-    differ = (1 - similarity) * 15 / 16
-    log = lambda n: math.lgamma(n + 1)
-    tail, most = 0.0, k
-    while most > 0 and 0 < differ < 1:
-        chance = log(k) - log(most) - log(k - most) + most * math.log(differ) + (k - most) * math.log(1 - differ)
-        tail += math.exp(chance)
-        if tail > missed:
-            return most
-        most -= 1
-    return most if differ else 0

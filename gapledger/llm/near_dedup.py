@@ -4,12 +4,12 @@ Texts with the same words are one text here, named by its least id. Each has a
 signature over its weighted five-word shingles; signatures are cut into bands, and
 texts that share a band's hash share a bucket. A bucket is not expanded into pairs at
 once: its members are compared with one centre, links are closed into components, and
-what remains are pairs of a bucket's members in different components. Rounds with
-centres of small, newly dealt parts go on while those are many and get fewer. Then each remaining pair is
-judged by its whole signatures, once, in the first bucket it shares: where these agree
-as often as those of similar texts do, the texts are compared. So every pair that
-shares a bucket is compared, or in one class already, or ruled out by its signatures,
-which ``MISSED`` bounds; there is no limit on the size of a bucket or on pairs.
+what remains are buckets with members in different components. Rounds with
+centres of small, newly dealt parts go on while those are many and get fewer. Then the
+buckets that are left are compared whole, in blocks within a task: members against cells
+give the number of cells that each two members share, and only links that join members not
+joined yet leave the task. So every pair that shares a bucket is compared exactly, or in
+one class already; there is no limit on the size of a bucket or on pairs.
 """
 
 from __future__ import annotations
@@ -22,9 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapledger.llm.components import connected_components
-from gapledger.llm.dart_minhash import band_hashes, dart_signatures, most_differing, nibbles
+from gapledger.llm.csr import ranges
+from gapledger.llm.dart_minhash import band_hashes, dart_signatures
+from gapledger.llm.embedding_dedup import joined_rows
 from gapledger.llm.shingles import WordReader, as_set, jaccard, shingles
-from gapledger.llm.staging import staged
+from gapledger.llm.staging import remove_table, staged
 from gapledger.llm.text import free_name
 from gapledger.llm.workers import slices
 
@@ -36,9 +38,10 @@ BANDS, ROWS = 32, 6
 PAIRS_PER_TEXT, STALLED = 1, 0.75
 #: Members of the parts that buckets are dealt into, on average.
 PART = 8
-#: At most this share of the pairs just similar enough have signatures that rule them out.
-MISSED = 1 / 50_000
-_NIBBLE_ENDS = 0x1111111111111111
+#: Members of a block, and bytes of their cells.
+BLOCK, BLOCK_BYTES = 1024, 32 << 20
+#: Columns of members against cells that are multiplied at a time; pairs from other columns.
+_COLUMNS, _PAIRS = 2048, 4_000_000
 _SLICE = 1_000_000
 
 
@@ -49,7 +52,7 @@ def _sketch(part: list[str], reader: WordReader, bands: int, rows: int) -> list[
     for text in part:
         words = reader.words(text)
         values = shingles(words)
-        found.append({"digest": xxhash.xxh3_128_digest(words.tobytes()), "total": len(values), "bands": [], "signature": []})
+        found.append({"digest": xxhash.xxh3_128_digest(words.tobytes()), "total": len(values), "bands": []})
         sets.append(np.unique(values, return_counts=True))
     full = [i for i, (values, _) in enumerate(sets) if len(values)]
     if full:
@@ -57,15 +60,12 @@ def _sketch(part: list[str], reader: WordReader, bands: int, rows: int) -> list[
         weights = np.concatenate([sets[i][1] for i in full]).astype(np.float64)
         owner = np.repeat(np.arange(len(full)), [len(sets[i][0]) for i in full])
         signatures = dart_signatures(elements, weights, owner, len(full), bands * rows)
-        hashes, short = band_hashes(signatures, rows).view(np.int64), nibbles(signatures).view(np.int64)
-        for i, row, of in zip(full, hashes.tolist(), short.tolist(), strict=True):
-            found[i] |= {"bands": row, "signature": of}
+        for i, row in zip(full, band_hashes(signatures, rows).view(np.int64).tolist(), strict=True):
+            found[i]["bands"] = row
     return found
 
 
-_SKETCH = pa.struct([
-    ("digest", pa.binary()), ("total", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.list_(pa.int64())),
-])
+_SKETCH = pa.struct([("digest", pa.binary()), ("total", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
 def _sketches(texts: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -78,8 +78,7 @@ def _sketches(texts: DataFrame, bands: int, rows: int) -> DataFrame:
             yield pa.array(found, _SKETCH)
 
     sketch.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    kind = "struct<digest:binary,total:long,bands:array<long>,signature:array<long>>"
-    made = F.arrow_udf(sketch, kind).asNondeterministic()
+    made = F.arrow_udf(sketch, "struct<digest:binary,total:long,bands:array<long>>").asNondeterministic()
     return texts.select("id", made(F.col("text")).alias("s")).select("id", "s.*")
 
 
@@ -109,33 +108,86 @@ def _may_be_similar(total_a: Column, total_b: Column, similarity: float) -> Colu
     return F.least(total_a, total_b) >= F.greatest(total_a, total_b) * F.lit(similarity)
 
 
-def _open_pairs(held: DataFrame, sketches: DataFrame, similarity: float, bands: int, rows: int) -> DataFrame:
-    """Pairs of a bucket's members with different labels whose totals and signatures may be of similar texts.
+def common_cells(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """How many cells each set of ``one`` shares with each of ``other``.
 
-    Each pair comes once, from the first band it shares. All tests are part of the join's
-    condition, so that a pair ruled out is never a row.
+    Cells that many members have are columns of two matrices that are multiplied, some at a
+    time; for the others, the few pairs of members that share each are counted.
     """
-    nodes = held.join(sketches.select("id", "bands", "signature"), "id")
-    end = lambda e: nodes.select(
-        "band", "hash", *[F.col(c).alias(f"{c}_{e}") for c in ("id", "total", "label", "bands", "signature")]
-    )
-    differing = F.lit(0)
-    for word in range(-(-bands * rows // 16)):
-        bits = F.get("signature_a", F.lit(word)).bitwiseXOR(F.get("signature_b", F.lit(word)))
-        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 1))
-        bits = bits.bitwiseOR(F.shiftrightunsigned(bits, 2)).bitwiseAND(F.lit(_NIBBLE_ENDS))
-        differing = differing + F.bit_count(bits)
-    first = F.array_position(F.zip_with("bands_a", "bands_b", lambda a, b: a == b), True) - 1
-    left, right = end("a").alias("l"), end("b").alias("r")
-    condition = (
-        (F.col("l.band") == F.col("r.band")) & (F.col("l.hash") == F.col("r.hash"))
-        & (F.col("label_a") < F.col("label_b")) & _may_be_similar(F.col("total_a"), F.col("total_b"), similarity)
-        & (differing <= most_differing(similarity, bands * rows, MISSED)) & (first == F.col("l.band"))
-    )
-    return left.join(right, condition).select(
-        F.col("id_a").alias("a"), F.col("id_b").alias("b"), "total_a", "total_b"
+    lengths = [np.array([len(c) for c in side]) for side in (one, other)]
+    _, at = np.unique(np.concatenate([*one, *other]), return_inverse=True)
+    at = at[: lengths[0].sum()], at[lengths[0].sum() :]
+    owner = [np.repeat(np.arange(len(n)), n) for n in lengths]
+    wide = max(int(a.max(initial=-1)) for a in at) + 1
+    held = [np.bincount(a, minlength=wide) for a in at]
+    common = np.zeros((len(one), len(other)), np.float32)
+    work = held[0] * held[1]
+    often = work > len(one) * len(other) / 100
+    columns = np.flatnonzero(often)
+    number = np.full(wide, -1)
+    for first in range(0, len(columns), _COLUMNS):
+        some = columns[first : first + _COLUMNS]
+        number[some] = np.arange(len(some))
+        sides = []
+        for a, of, n in zip(at, owner, (len(one), len(other)), strict=True):
+            own = number[a] >= 0
+            side = np.zeros((n, len(some)), np.float32)
+            side[of[own], number[a[own]]] = 1
+            sides.append(side)
+        common += sides[0] @ sides[1].T
+        number[some] = -1
+    few = np.flatnonzero((work > 0)[at[0]] & ~often[at[0]])
+    order = np.argsort(at[1], kind="stable")
+    starts = np.cumsum(held[1]) - held[1]
+    each = held[1][at[0][few]]
+    ends = np.cumsum(each)
+    begun = 0
+    while begun < len(few):
+        stop = max(int(np.searchsorted(ends, (ends[begun - 1] if begun else 0) + _PAIRS, "right")), begun + 1)
+        part = few[begun:stop]
+        partner = owner[1][order[ranges(starts[at[0][part]], each[begun:stop])]]
+        pair = np.repeat(owner[0][part], each[begun:stop]) * len(other) + partner
+        common += np.bincount(pair, minlength=common.size).reshape(common.shape).astype(np.float32)
+        begun = stop
+    return common
+
+
+def linked_sets(one: list[np.ndarray], other: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets of ``one`` have a Jaccard similarity of at least ``similarity`` to which of ``other``."""
+    common = common_cells(one, other).astype(np.float64)
+    sizes = [np.array([len(c) for c in side], np.float64) for side in (one, other)]
+    return np.nonzero(common / (sizes[0][:, None] + sizes[1][None, :] - common) >= similarity)
+
+
+def _bucket_links(held: DataFrame, sets: DataFrame, similarity: float, block: int, block_bytes: int) -> DataFrame:
+    """``a, b``: links that join the members of each bucket of ``held`` as all their links would.
+
+    A bucket too large for one task is dealt into blocks by its members' hash; each task
+    then has two blocks, or one.
+    """
+    sizes = held.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n"), (8 * F.sum("total")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("bytes") / block_bytes)).cast("int").alias("blocks")
+    dealt = held.select("band", "hash", "id").join(sizes.select("band", "hash", blocks), ["band", "hash"])
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", "hash", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "own", "id"
     )
 
+    def compare(table: pa.Table) -> pa.Table:
+        ids, own = table.column("id").to_numpy(), table.column("own").to_numpy()
+        cells = [np.frombuffer(c.as_py(), np.uint64) for c in table.column("cells")]
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        sides = [np.flatnonzero(own == part) for part in (low, high)]
+        if not all(map(len, sides)):
+            return pa.table({"a": ids[:0], "b": ids[:0]})
+        i, j = linked_sets(*[[cells[k] for k in side] for side in sides], similarity)
+        label = joined_rows(len(ids), sides[0][i], sides[1][j])
+        moved = np.flatnonzero(label != np.arange(len(ids)))
+        return pa.table({"a": ids[moved], "b": ids[label[moved]]})
+
+    members = met.join(sets, "id").groupBy("band", "hash", "low", "high")
+    return members.applyInArrow(compare, "a long, b long").distinct()
+
 
 def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Those of ``pairs`` (``a, b, total_a, total_b``) that are similar enough, compared exactly."""
@@ -150,7 +202,7 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 def near_duplicate_classes(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY,
-    bands: int = BANDS, rows: int = ROWS, pairs_per_text: int = PAIRS_PER_TEXT,
+    bands: int = BANDS, rows: int = ROWS, pairs_per_text: int = PAIRS_PER_TEXT, block: int = BLOCK,
 ) -> DataFrame:
     """``<id>, class_id`` for each row of ``docs``: the least id of its class.
 
@@ -194,7 +246,7 @@ def near_duplicate_classes(
         last = open_pairs <= enough or (turn > 1 and open_pairs > STALLED * before)
         before = open_pairs
         if last:
-            pairs = _open_pairs(held, sketches, similarity, bands, rows)
+            found = _bucket_links(held, sets, similarity, block, BLOCK_BYTES)
         else:
             # At first a bucket's centre is its least id. Later a bucket is dealt anew each round into
             # parts with a centre each, so that a member meets others in each of its bands.
@@ -206,8 +258,12 @@ def near_duplicate_classes(
                 F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b"),
                 F.col("total").alias("total_a"), F.col("c.total").alias("total_b"),
             )
-        links = staged(_links(pairs, sets, similarity))
+            found = _links(pairs, sets, similarity)
+        links, former = staged(found), labels
         labels = _merged(labels, links)
+        # What the round has staged goes before the next one stages as much.
+        for table in (held, links, *([former] if turn else [])):
+            remove_table(table)
         turn += 1
         if last:
             break

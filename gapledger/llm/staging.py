@@ -10,6 +10,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,12 +39,29 @@ def remove_staged(spark: SparkSession) -> None:
     """Delete what this application has staged. Frames that read it can't be used after."""
     if (context := spark.sparkContext)._jsc is None or (folder := _FOLDERS.pop(context.applicationId, None)) is None:
         return
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, folder)
 
 
 def staged(df: DataFrame) -> DataFrame:
     """``df``, computed, written as a table of its own and read back."""
     path = f"{staging_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+# Where the staged frames of this process lie.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def remove_table(table: DataFrame) -> None:
+    """Delete a frame that ``staged`` has returned, when nothing that is still to run reads it."""
+    if (path := _PATHS.pop(table, None)) is not None:
+        _delete(table.sparkSession, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

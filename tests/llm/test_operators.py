@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 import zlib
 from collections import Counter
@@ -17,7 +16,7 @@ from gapledger.llm import (
     byte_gru, decontamination, exact_dedup, language_id, near_dedup, packing, pii, registry, suffix_dedup,
     token_counts, url_rules, warc,
 )
-from gapledger.llm.dart_minhash import dart_signatures, most_differing, nibbles
+from gapledger.llm.dart_minhash import dart_signatures
 from tests.compare import duck, rows_of_duck, rows_of_spark
 
 DOCS = "doc_id long, text string, lang string, kept string"
@@ -59,22 +58,21 @@ def _shingles(text):
     return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
 
 
-def test_nibbles_rule_out_few_similar_pairs():
+def test_cells_shared_by_sets():
     rng = np.random.default_rng(3)
-    most = most_differing(0.8, 192, 1 / 50_000)
-    # By the exact binomial tail.
-    tail = lambda m: sum(math.comb(192, i) * 0.1875**i * 0.8125 ** (192 - i) for i in range(m + 1, 193))
-    assert tail(most) <= 1 / 50_000 < tail(most - 1)
-    assert most_differing(1.0, 192, 0.1) == 0
-    one = rng.integers(0, 2**63, (2, 20)).astype(np.uint64)
-    packed = nibbles(one)
-    assert packed.shape == (2, 2)
-    for i in range(20):
-        assert int(packed[0, i // 16]) >> 4 * (i % 16) & 15 == int(one[0, i]) & 15
-
-
-@pytest.mark.parametrize("pairs_per_text", [1, 0])
-def test_near_dedup_against_all_pairs(docs, pairs_per_text):
+    near = [np.unique(np.r_[rng.integers(0, 40, 30), rng.integers(0, 5000, 4)]).astype(np.uint64) for _ in range(60)]
+    far = [np.unique(rng.integers(0, 3000, n)).astype(np.uint64) for n in rng.integers(1, 80, 50)]
+    one, other = [*near[:30], *far], [*near[30:], *far[:20]]
+    shared = np.array([[len(np.intersect1d(a, b)) for b in other] for a in one])
+    assert (near_dedup.common_cells(one, other) == shared).all()
+    alike = [[len(np.intersect1d(a, b)) / len(np.union1d(a, b)) >= 0.6 for b in other] for a in one]
+    found = np.zeros(shared.shape, bool)
+    found[near_dedup.linked_sets(one, other, 0.6)] = True
+    assert (found == alike).all()
+
+
+@pytest.mark.parametrize("pairs_per_text,block", [(1, 1024), (0, 1024), (100, 3)])
+def test_near_dedup_against_all_pairs(docs, pairs_per_text, block):
     texts = {r["doc_id"]: _shingles(r["text"]) for r in docs.select("doc_id", "text").collect()}
     label = {i: i for i in texts}
     for a in texts:
@@ -84,7 +82,7 @@ def test_near_dedup_against_all_pairs(docs, pairs_per_text):
                 if common and common >= 0.8 * sum((texts[a] | texts[b]).values()):
                     low, high = sorted((label[a], label[b]))
                     label = {i: low if x == high else x for i, x in label.items()}
-    found = near_dedup.near_duplicate_classes(docs, pairs_per_text=pairs_per_text)
+    found = near_dedup.near_duplicate_classes(docs, pairs_per_text=pairs_per_text, block=block)
     assert {r["doc_id"]: r["class_id"] for r in found.collect()} == label
 
 
@@ -337,7 +335,7 @@ def test_reliabilities_are_recovered():
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - {"pipeline"}))
 def test_empty_tables(spark, sf_dir, tmp_path, name):
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         spark.read.parquet(f"{sf_dir}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     assert registry.queries()[name](spark, str(tmp_path)).count() == 0
 
