@@ -22,6 +22,10 @@ def _without(text: Column, characters: str) -> Column:
     return text
 
 
+def _names_thousands(text: Column) -> Column:
+    return F.contains(text, F.lit("K")) | F.contains(text, F.lit("k"))
+
+
 def parse_number(text: Column) -> Column:
     """Number as double; anything that is not wholly a number gives null. The empty text,
     which titles without a dollar sign come down to, skips the pattern."""
@@ -62,7 +66,7 @@ def with_amount(df: DataFrame, text: str, amount: str) -> DataFrame:
     Each step is a column of its own, so that nothing is computed twice.
     """
     tail, token, number, plain = (F.col(c) for c in ("_tail", "_token", "_number", "_plain"))
-    in_millions, in_thousands = F.contains(token, F.lit("M")), token.rlike("[kK]")
+    in_millions, in_thousands = F.contains(token, F.lit("M")), _names_thousands(token)
     digits = (
         F.when(in_millions, _without(token, "M"))
         .when(in_thousands, F.translate(token, "Kk", ""))
@@ -70,7 +74,7 @@ def with_amount(df: DataFrame, text: str, amount: str) -> DataFrame:
     )
     rescaled = (
         F.when(F.contains(tail, F.lit("M")), plain * 1000000)
-        .when(tail.rlike("[kK]"), plain * 1000)
+        .when(_names_thousands(tail), plain * 1000)
         .otherwise(plain)
     )
     scaled = (

@@ -41,8 +41,9 @@ def business_days_since(day: Column, as_of: dt.date, week_start: str = "monday")
 def needed_by_utc(text: Column) -> Column:
     """``MM-dd-yyyy HH:mm:ss`` in UTC, leading zeros optional, as a zone-less timestamp;
     anything else gives null."""
+    # A text that fits always comes out changed, its year being moved to the front.
     rearranged = F.regexp_replace(text, _DATE_TIME, "$3-$1-$2 $4")
-    return F.when(text.rlike(_DATE_TIME), rearranged).try_cast("timestamp_ntz")
+    return F.nullif(rearranged, text).try_cast("timestamp_ntz")
 
 
 def local_date(utc: Column, zone: str) -> Column:
