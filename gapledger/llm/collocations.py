@@ -154,16 +154,24 @@ def _packed(
     sequence[at[named]] = second[named]
     sequence[np.repeat(at + 1, widths) + ranges(np.zeros(len(widths), np.int64), widths)] = third
     names = [words[i] for i in sequence.tolist()]
-    pair_ends, third_ends = np.r_[starts[1:], len(pair)], np.r_[0, np.cumsum(widths)]
-    rows = []
-    for s, e in zip(starts.tolist(), pair_ends.tolist(), strict=True):
-        kept = named[s:e]
-        rows.append((
-            words[first[s]], int(total[s:e].sum()), b" ".join(names[at[s] : before[e - 1]]),
-            widths[s:e][kept].astype("<u4").tobytes(), total[s:e][kept].astype("<u8").tobytes(),
-            count[third_ends[s] : third_ends[e]].astype("<u8").tobytes(),
-        ))
-    return rows
+    # A task's own counts fit 32 bits.
+    data = [x.astype("<u4").tobytes() for x in (widths[named], total[named], count)]
+    marks = [
+        np.r_[x, 0][np.r_[starts, len(pair)]] for x in (at, np.cumsum(named) - named, np.cumsum(widths) - widths)
+    ]
+    for mark, whole in zip(marks, (len(sequence), int(named.sum()), len(count)), strict=True):
+        mark[-1] = whole
+    of_word, of_pair, of_third = (m.tolist() for m in marks)
+    sums = np.add.reduceat(total, starts).tolist()
+    return [
+        (
+            words[f], n, b" ".join(names[w:we]),
+            data[0][4 * p : 4 * pe], data[1][4 * p : 4 * pe], data[2][4 * t : 4 * te],
+        )
+        for f, n, w, we, p, pe, t, te in zip(
+            first[starts].tolist(), sums, of_word, of_word[1:], of_pair, of_pair[1:], of_third, of_third[1:], strict=False
+        )
+    ]
 
 
 def _stripe_batch(langs: list[str], rows: list[tuple]) -> pa.RecordBatch:
@@ -217,8 +225,8 @@ class _Read:
         texts = [w for w in column("words") if w]
         number = _Numbers()
         sequence = np.array([number[w] for w in b" ".join(texts).split(b" ")] if texts else [], np.int64)
-        joined = lambda c, kind: np.frombuffer(b"".join(column(c)), kind).astype(np.int64)
-        widths, self.total, self.count = joined("widths", "<u4"), joined("totals", "<u8"), joined("counts", "<u8")
+        joined = lambda c: np.frombuffer(b"".join(column(c)), "<u4").astype(np.int64)
+        widths, self.total, self.count = (joined(c) for c in ("widths", "totals", "counts"))
         self.words = list(number)
         self.row = np.repeat(np.arange(rows.num_rows), [len(w) // 4 for w in column("widths")])
         at = np.r_[0, np.cumsum(widths + 1)].astype(np.int64)
@@ -273,7 +281,7 @@ def _merged(stripe: DataFrame, followers: DataFrame, least: int) -> DataFrame:
         last, size = None, 0
         for batch in batches:
             keys = list(zip(*[batch.column(c).to_pylist() for c in ("lang", "first", "part")], strict=True))
-            sizes = np.array([len(w) // 8 for w in batch.column("counts").to_pylist()]) + 1
+            sizes = np.array([len(w) // 4 for w in batch.column("counts").to_pylist()]) + 1
             begun = 0
             for i, key in enumerate(keys):
                 # Stripes of one word stay together, others are merged some at a time.
@@ -347,7 +355,7 @@ def collocations(
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary").alias("text"),
     )
     stripe = staged(stripes(texts))
-    elements = (F.octet_length("totals") + F.octet_length("counts")) / 8
+    elements = (F.octet_length("totals") + F.octet_length("counts")) / 4
     followers = staged(
         stripe.groupBy("lang", "first").agg(F.sum("total").alias("f"), F.sum(elements).cast("long").alias("elements"))
     )
