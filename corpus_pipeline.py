@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapledger.llm import decontamination, exact_dedup, language_id, near_dedup, packing, registry
+from gapledger.llm.staging import remove_table, staged
 from gapledger.llm.text import free_name
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -58,8 +59,14 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over ``documents``."""
+    """All stages, one after the other, over ``documents``.
+
+    What a stage keeps is written and read again, so that the next one reads it as often as
+    it likes; a table goes when the stage after it has been written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    *first, (_, last) = STAGES
+    for _, stage in first:
+        before, docs = docs, staged(stage(spark, docs, sf_dir))
+        remove_table(before)
+    return last(spark, docs, sf_dir)
