@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,6 +110,7 @@ class Stripes:
         self._merge()
         triples, counts = self.parts[0]
         words = list(self.words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
         first = triples >> 42
         starts = np.flatnonzero(np.r_[True, first[1:] != first[:-1]]) if len(triples) else np.zeros(0, np.int64)
         ends = np.r_[starts[1:], len(triples)].astype(np.int64)
@@ -116,8 +118,7 @@ class Stripes:
         while run < len(starts):
             stop = max(int(np.searchsorted(ends, starts[run] + _AT_ONCE, "right")), run + 1)
             part = slice(starts[run], ends[stop - 1])
-            rows = _packed(*_elements(triples[part], counts[part]), words)
-            yield _stripe_batch([self.lang] * (stop - run), rows)
+            yield _packed(self.lang, *_elements(triples[part], counts[part]), words, lengths)
             run = stop
         self._clear()
 
@@ -137,48 +138,62 @@ def _elements(triples: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]
 
 
 def _packed(
-    pair: np.ndarray, total: np.ndarray, of: np.ndarray, third: np.ndarray, count: np.ndarray, words: list[bytes]
-) -> list[tuple]:
+    lang: str, pair: np.ndarray, total: np.ndarray, of: np.ndarray, third: np.ndarray, count: np.ndarray,
+    words: list[bytes], lengths: np.ndarray,
+) -> pa.RecordBatch:
     """A row per first word: the word, its total, and its pairs with their third words as bytes.
 
-    ``words`` of a row has each second word and then its third words, between blanks.
+    ``words`` of a row has each second word and then its third words, each before a blank;
+    ``lengths`` are those of the given words.
     """
     first, second = pair >> 21, pair & _MASK
     starts = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
     widths = np.bincount(of, minlength=len(pair))
     named = second > 0
     # Where each second and third word stands in the sequence of all words.
-    before = np.cumsum(np.where(named, widths + 1, 0))
-    at = before - np.where(named, widths + 1, 0)
-    sequence = np.zeros(before[-1], np.int64)
+    room = np.where(named, widths + 1, 0)
+    at = np.cumsum(room) - room
+    sequence = np.zeros(int(room.sum()), np.int64)
     sequence[at[named]] = second[named]
     sequence[np.repeat(at + 1, widths) + ranges(np.zeros(len(widths), np.int64), widths)] = third
-    names = [words[i] for i in sequence.tolist()]
+    written = b" ".join([*[words[i] for i in sequence.tolist()], b""])
     # A task's own counts fit 32 bits.
     data = [x.astype("<u4").tobytes() for x in (widths[named], total[named], count)]
-    marks = [
-        np.r_[x, 0][np.r_[starts, len(pair)]] for x in (at, np.cumsum(named) - named, np.cumsum(widths) - widths)
-    ]
-    for mark, whole in zip(marks, (len(sequence), int(named.sum()), len(count)), strict=True):
-        mark[-1] = whole
-    of_word, of_pair, of_third = (m.tolist() for m in marks)
-    sums = np.add.reduceat(total, starts).tolist()
-    return [
-        (
-            words[f], n, b" ".join(names[w:we]),
-            data[0][4 * p : 4 * pe], data[1][4 * p : 4 * pe], data[2][4 * t : 4 * te],
-        )
-        for f, n, w, we, p, pe, t, te in zip(
-            first[starts].tolist(), sums, of_word, of_word[1:], of_pair, of_pair[1:], of_third, of_third[1:], strict=False
-        )
-    ]
-
-
-def _stripe_batch(langs: list[str], rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-    kinds = (pa.binary(), pa.int64(), *[pa.binary()] * 4)
-    arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-    return pa.record_batch([pa.array(langs, pa.string()), *arrays], names=_COLUMNS)
+
+    def ends(sizes: np.ndarray) -> np.ndarray:
+        """Where each row's share begins, given what each pair adds; the end of all at last."""
+        before = np.r_[0, np.cumsum(sizes)]
+        return before[np.r_[starts, len(pair)]]
+
+    marks = np.r_[0, np.cumsum(lengths[sequence] + 1)][ends(room)], *[4 * ends(x) for x in (named, named, widths)]
+    return pa.record_batch([
+        pa.array([lang] * len(starts), pa.string()), pa.array([words[f] for f in first[starts].tolist()], pa.binary()),
+        pa.array(np.add.reduceat(total, starts)),
+        *[_binary(x, m) for x, m in zip((written, *data), marks, strict=True)],
+    ], names=_COLUMNS)
+
+
+def _binary(data: bytes, offsets: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+
+
+def _bytes_of(array: pa.Array) -> bytes:
+    """All values of a binary array without nulls, one after the other."""
+    if not len(array):
+        return b""
+    offsets = np.frombuffer(array.buffers()[1], np.int32)[array.offset : array.offset + len(array) + 1]
+    return memoryview(array.buffers()[2] or b"")[offsets[0] : offsets[-1]].tobytes()
+
+
+def _changes(rows: pa.RecordBatch, keys: list[str], before: tuple | None = None) -> np.ndarray:
+    """Whether each row's key differs from that of the row before it; of the first, from ``before``."""
+    changed = np.zeros(rows.num_rows, bool)
+    changed[0] = tuple(rows.column(k)[0].as_py() for k in keys) != before
+    for k in keys:
+        column = rows.column(k)
+        changed[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    return changed
 
 
 _MASK = 0x1FFFFF
@@ -221,14 +236,14 @@ class _Read:
     """Rows of stripes as arrays: ``row``, ``second`` and ``total`` per pair; ``of``, ``third`` and ``count`` per third word."""
 
     def __init__(self, rows: pa.RecordBatch) -> None:
-        column = lambda c: rows.column(c).to_pylist()
-        texts = [w for w in column("words") if w]
         number = _Numbers()
-        sequence = np.array([number[w] for w in b" ".join(texts).split(b" ")] if texts else [], np.int64)
-        joined = lambda c: np.frombuffer(b"".join(column(c)), "<u4").astype(np.int64)
+        found = _bytes_of(rows.column("words")).split()
+        sequence = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
+        joined = lambda c: np.frombuffer(_bytes_of(rows.column(c)), "<u4").astype(np.int64)
         widths, self.total, self.count = (joined(c) for c in ("widths", "totals", "counts"))
         self.words = list(number)
-        self.row = np.repeat(np.arange(rows.num_rows), [len(w) // 4 for w in column("widths")])
+        pairs = pc.binary_length(rows.column("widths")).to_numpy(zero_copy_only=False) // 4
+        self.row = np.repeat(np.arange(rows.num_rows), pairs)
         at = np.r_[0, np.cumsum(widths + 1)].astype(np.int64)
         self.second = sequence[at[:-1]]
         self.of = np.repeat(np.arange(len(widths)), widths)
@@ -261,13 +276,15 @@ def _cut(stripe: DataFrame, followers: DataFrame) -> DataFrame:
                     place = np.cumsum(held) - 1
                     totals = np.where(with_total == part, read.total, 0)[own]
                     # The word itself is number 0 here.
-                    rows = _packed(
-                        read.second[own], totals, place[read.of[inner]], read.third[inner], read.count[inner],
-                        [row.column("first")[0].as_py(), *read.words[1:]],
+                    words = [row.column("first")[0].as_py(), *read.words[1:]]
+                    out = _packed(
+                        row.column("lang")[0].as_py(), read.second[own], totals, place[read.of[inner]],
+                        read.third[inner], read.count[inner], words, np.array([len(w) for w in words]),
                     )
-                    out = _stripe_batch(row.column("lang").to_pylist(), rows)
                     yield out.append_column("part", pa.array([part], pa.int32()))
 
+    if hot.isEmpty():
+        return stripe.withColumn("part", F.lit(-1))
     keys = ["lang", "first"]
     whole = stripe.join(hot, keys, "left_anti").withColumn("part", F.lit(-1))
     return whole.unionByName(stripe.join(hot, keys).mapInArrow(cut, f"{_STRIPES}, part int"))
@@ -280,18 +297,23 @@ def _merged(stripe: DataFrame, followers: DataFrame, least: int) -> DataFrame:
         waiting: list[pa.RecordBatch] = []
         last, size = None, 0
         for batch in batches:
-            keys = list(zip(*[batch.column(c).to_pylist() for c in ("lang", "first", "part")], strict=True))
-            sizes = np.array([len(w) // 4 for w in batch.column("counts").to_pylist()]) + 1
-            begun = 0
-            for i, key in enumerate(keys):
-                # Stripes of one word stay together, others are merged some at a time.
-                if key != last and size > _AT_ONCE:
-                    waiting.append(batch.slice(begun, i - begun))
-                    yield merged(waiting)
-                    waiting, begun, size = [], i, 0
-                last = key
-                size += sizes[i]
-            waiting.append(batch.slice(begun))
+            if not batch.num_rows:
+                continue
+            begins = np.flatnonzero(_changes(batch, keys, last))
+            elements = pc.binary_length(batch.column("counts")).to_numpy(zero_copy_only=False) // 4 + 1
+            before = np.r_[0, np.cumsum(elements)]
+            done = 0
+            # Stripes of one word stay together, others are merged some at a time.
+            while True:
+                enough = begins[(begins >= done) & (before[begins] - before[done] + size > _AT_ONCE)]
+                if not len(enough):
+                    break
+                waiting.append(batch.slice(done, enough[0] - done))
+                yield merged(waiting)
+                waiting, done, size = [], int(enough[0]), 0
+            waiting.append(batch.slice(done))
+            size += int(before[-1] - before[done])
+            last = tuple(batch.column(k)[batch.num_rows - 1].as_py() for k in keys)
         if waiting:
             yield merged(waiting)
 
@@ -301,8 +323,7 @@ def _merged(stripe: DataFrame, followers: DataFrame, least: int) -> DataFrame:
             return pa.record_batch([pa.array([], t) for t in kinds], names=names)
         rows = rows[0]
         read = _Read(rows)
-        keys = list(zip(*[rows.column(c).to_pylist() for c in ("lang", "first", "part")], strict=True))
-        group = np.cumsum([a != b for a, b in zip(keys, [None, *keys], strict=False)]) - 1
+        group = np.cumsum(_changes(rows, keys)) - 1
         wide = len(read.words)
         pairs, at = np.unique(group[read.row] * wide + read.second, return_inverse=True)
         totals = np.bincount(at, read.total, len(pairs)).astype(np.int64)
@@ -321,8 +342,8 @@ def _merged(stripe: DataFrame, followers: DataFrame, least: int) -> DataFrame:
             words.take(pa.array(of % wide)), words.take(pa.array(third)), pa.array(np.r_[totals[enough], counts[frequent]]),
         ], names=names)
 
-    names, kinds = ["lang", "first", "second", "third", "f"], (pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
     keys = ["lang", "first", "part"]
+    names, kinds = ["lang", "first", "second", "third", "f"], (pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
     sorted_ = _cut(stripe, followers).repartition(*keys).sortWithinPartitions(*keys)
     return sorted_.mapInArrow(merge, "lang string, first binary, second binary, third binary, f long")
 
