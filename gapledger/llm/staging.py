@@ -42,11 +42,28 @@ def remove_staged(spark: SparkSession) -> None:
     _delete(spark, folder)
 
 
+#: Spark then deletes what a query has shuffled when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame) -> DataFrame:
-    """``df``, computed, written as a table of its own and read back."""
-    path = f"{staging_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df``, computed, written as a table of its own and read back.
+
+    What was shuffled for it goes once the table stands. Otherwise it stays until the driver
+    collects garbage, so that an operator of many steps holds the shuffles of all of them.
+    """
+    spark = df.sparkSession
+    path = f"{staging_folder(spark)}/{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
     _PATHS[table] = path
     return table
 
