@@ -6,9 +6,9 @@ texts that share a band's hash share a bucket. A bucket is not expanded into pai
 once: its members are compared with one centre, links are closed into components, and
 what remains are buckets with members in different components. Rounds with
 centres of small, newly dealt parts go on while those are many and get fewer. Then the
-buckets that are left are compared whole, in blocks within a task: members against cells
-give the number of cells that each two members share, and only links that join members not
-joined yet leave the task. So every pair that shares a bucket is compared exactly, or in
+buckets that are left are compared whole, in blocks within a task and tile by tile there:
+members against cells give the number of cells that each two members share, and only links
+that join members not joined yet leave the task. So every pair that shares a bucket is compared exactly, or in
 one class already; there is no limit on the size of a bucket or on pairs.
 """
 
@@ -39,7 +39,9 @@ PAIRS_PER_TEXT, STALLED = 1, 0.75
 #: Members of the parts that buckets are dealt into, on average.
 PART = 8
 #: Members of a block, and bytes of their cells.
-BLOCK, BLOCK_BYTES = 1024, 32 << 20
+BLOCK, BLOCK_BYTES = 4096, 32 << 20
+#: Members that are compared with as many others at a time, within a task.
+TILE = 1024
 #: Columns of members against cells that are multiplied at a time; pairs from other columns.
 _COLUMNS, _PAIRS = 2048, 4_000_000
 _SLICE = 1_000_000
@@ -159,33 +161,62 @@ def linked_sets(one: list[np.ndarray], other: list[np.ndarray], similarity: floa
     return np.nonzero(common / (sizes[0][:, None] + sizes[1][None, :] - common) >= similarity)
 
 
-def _bucket_links(held: DataFrame, sets: DataFrame, similarity: float, block: int, block_bytes: int) -> DataFrame:
-    """``a, b``: links that join the members of each bucket of ``held`` as all their links would.
+def tile_links(sets: list[np.ndarray], one: np.ndarray, other: np.ndarray, similarity: float, tile: int = TILE) -> np.ndarray:
+    """For each of ``sets`` the least one it is joined to by links between those numbered ``one`` and ``other``.
 
-    A bucket too large for one task is dealt into blocks by its members' hash; each task
-    then has two blocks, or one.
+    Both sides are cut into tiles in order of size, as sets of too different sizes are never similar.
+    Of a tile's links only those are kept that join its members, so their number does not grow
+    with the pairs.
+    """
+    sizes = np.array([len(s) for s in sets])
+    sides = [side[np.argsort(sizes[side], kind="stable")] for side in (one, other)]
+    cut = [[side[k : k + tile] for k in range(0, len(side), tile)] for side in sides]
+    ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k, low in enumerate(cut[0]):
+        for high in cut[1][k if one is other else 0 :]:
+            if min(sizes[low[-1]], sizes[high[-1]]) / max(sizes[low[0]], sizes[high[0]], 1) < similarity:
+                continue
+            i, j = linked_sets([sets[x] for x in low], [sets[x] for x in high], similarity)
+            members = np.concatenate([low, high])
+            label = joined_rows(len(members), i, len(low) + j)
+            ends[0].append(members)
+            ends[1].append(members[label])
+    return joined_rows(len(sets), np.concatenate(ends[0]), np.concatenate(ends[1]))
+
+
+def dealt_members(held: DataFrame, block: int, block_bytes: int) -> DataFrame:
+    """``band, hash, low, high, own, id``: members of the buckets of ``held``, for each two blocks of a bucket.
+
+    Blocks are dealt by the members' hash. A member stands once for each block of its bucket, so
+    once in all where one block has the bucket.
     """
     sizes = held.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n"), (8 * F.sum("total")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("bytes") / block_bytes)).cast("int").alias("blocks")
     dealt = held.select("band", "hash", "id").join(sizes.select("band", "hash", blocks), ["band", "hash"])
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int"))
-    met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    return dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "hash", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high"), "own", "id"
     )
 
+
+def _bucket_links(held: DataFrame, sets: DataFrame, similarity: float, block: int, block_bytes: int) -> DataFrame:
+    """``a, b``: links that join the members of each bucket of ``held`` as all their links would.
+
+    A bucket too large for one task is dealt into blocks by its members' hash; each task
+    then has two blocks, or one.
+    """
+
     def compare(table: pa.Table) -> pa.Table:
         ids, own = table.column("id").to_numpy(), table.column("own").to_numpy()
         cells = [np.frombuffer(c.as_py(), np.uint64) for c in table.column("cells")]
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        sides = [np.flatnonzero(own == part) for part in (low, high)]
-        if not all(map(len, sides)):
-            return pa.table({"a": ids[:0], "b": ids[:0]})
-        i, j = linked_sets(*[[cells[k] for k in side] for side in sides], similarity)
-        label = joined_rows(len(ids), sides[0][i], sides[1][j])
+        one = np.flatnonzero(own == low)
+        other = one if low == high else np.flatnonzero(own == high)
+        label = tile_links(cells, one, other, similarity)
         moved = np.flatnonzero(label != np.arange(len(ids)))
         return pa.table({"a": ids[moved], "b": ids[label[moved]]})
 
-    members = met.join(sets, "id").groupBy("band", "hash", "low", "high")
+    members = dealt_members(held, block, block_bytes).join(sets, "id").groupBy("band", "hash", "low", "high")
     return members.applyInArrow(compare, "a long, b long").distinct()
 
 
@@ -232,21 +263,20 @@ def near_duplicate_classes(
     enough = pairs_per_text * sketches.count()
 
     turn, before = 0, 0
+    held = shared.withColumn("label", F.col("id"))
     while True:
-        held = shared if not turn else shared.join(labels, "id")
-        held = held.withColumn("label", F.col("id")) if not turn else held
         sizes = held.groupBy("band", "hash", "label").agg(F.count(F.lit(1)).alias("n"))
-        split = sizes.groupBy("band", "hash").agg(
+        split = staged(sizes.groupBy("band", "hash").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count(F.lit(1)).alias("labels")
-        ).filter("labels > 1")
+        ).filter("labels > 1"))
         open_pairs = split.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
         if not open_pairs:
             break
-        held = staged(held.join(split.select("band", "hash"), ["band", "hash"]))
+        left = held.join(split.select("band", "hash"), ["band", "hash"])
         last = open_pairs <= enough or (turn > 1 and open_pairs > STALLED * before)
         before = open_pairs
         if last:
-            found = _bucket_links(held, sets, similarity, block, BLOCK_BYTES)
+            found = _bucket_links(left, sets, similarity, block, BLOCK_BYTES)
         else:
             # At first a bucket's centre is its least id. Later a bucket is dealt anew each round into
             # parts with a centre each, so that a member meets others in each of its bands.
@@ -261,8 +291,12 @@ def near_duplicate_classes(
             found = _links(pairs, sets, similarity)
         links, former = staged(found), labels
         labels = _merged(labels, links)
-        # What the round has staged goes before the next one stages as much.
-        for table in (held, links, *([former] if turn else [])):
+        # A closed bucket stays closed, so the next round reads the open ones alone, which get
+        # their labels once. What the round has staged goes before the next one stages as much.
+        done = [links, split] + ([former, held] if turn else [shared])
+        if not last:
+            held = staged(left.drop("label").join(labels, "id"))
+        for table in done:
             remove_table(table)
         turn += 1
         if last:

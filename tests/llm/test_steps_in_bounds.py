@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from gapledger.llm import near_dedup
 from gapledger.llm.staging import staged
 
 
@@ -23,3 +25,30 @@ def test_a_staged_table_leaves_no_shuffle_files(spark):
     # A later query of the same frame shuffles anew.
     frame = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
     assert staged(frame).count() == frame.count() == staged(frame).count() == 7
+
+
+def test_members_of_a_bucket_for_one_block_stand_once(spark):
+    held = spark.range(3_000).select(
+        F.lit(1).alias("band"), F.lit(5).cast("long").alias("hash"), "id", F.lit(40).cast("long").alias("total")
+    )
+    assert near_dedup.dealt_members(held, near_dedup.BLOCK, near_dedup.BLOCK_BYTES).count() == 3_000
+    assert near_dedup.dealt_members(held, 1_000, near_dedup.BLOCK_BYTES).count() == 9_000
+
+
+def test_tiles_find_the_links_of_all_pairs():
+    rng = np.random.default_rng(5)
+    base = [np.unique(rng.integers(0, 1 << 40, n)).astype(np.uint64) for n in (10, 25, 60)]
+    sets = []
+    for k in range(60):
+        own = base[k % 3]
+        sets.append(np.unique(np.r_[own[: len(own) - k % 4], rng.integers(0, 1 << 40, k % 3).astype(np.uint64)]))
+    for one, other in ((np.arange(60), None), (np.arange(0, 60, 2), np.arange(1, 60, 2))):
+        other = one if other is None else other
+        label = list(range(60))
+        for a in one:
+            for b in other:
+                if len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) >= 0.8:
+                    least, most = sorted((label[a], label[b]))
+                    label = [least if x == most else x for x in label]
+        for tile in (1, 7, 1024):
+            assert (near_dedup.tile_links(sets, one, other, 0.8, tile) == label).all()
