@@ -9,9 +9,10 @@ from gapledger.config import ACTION_COLUMNS, REGION_RANK_FALLBACK, ApprovalRules
 from gapledger.functions import dates, titles
 from gapledger.functions.amounts import with_amount
 from gapledger.operators.columns import renamed, with_default
-from gapledger.operators.grouping import distinct_join, distinct_values, values_not_in
+from gapledger.operators.grouping import distinct_join, values_not_in
 from gapledger.operators.numbering import number_rows, number_rows_lazily
 from gapledger.sources.extracts import approval_link
+from gapledger.staging import staged
 
 # The id comes first: it tells most groups apart when keys are compared.
 REQUEST_KEYS = ("approval_id", "template_id", "title")
@@ -70,10 +71,12 @@ def request_groups(pending: DataFrame, rules: ApprovalRules) -> DataFrame:
     the tracked approvers, the queue and the need-by time.
 
     Marks and queue are plain boolean aggregates, so their state stays constant
-    per request; the sets hold distinct approver names. Columns that a caller
-    does not select are pruned from the aggregate.
+    per request. Who took which action is one set, as each set of an aggregate is packed
+    and unpacked for every row that is shuffled; it is cut by action afterwards. Columns that
+    a caller does not select are pruned from the aggregate.
     """
-    sets = [distinct_values(_approver_if(a)).alias(column) for a, column in ACTION_COLUMNS.items()]
+    acted = F.col("decision").isin(list(ACTION_COLUMNS)) & F.col("approver").isNotNull()
+    actors = F.collect_set(F.when(acted, F.struct("decision", "approver"))).alias("_actors")
     is_pending = F.col("decision").isin(list(PENDING_ACTIONS))
     is_approved = F.col("decision").isin(list(APPROVED_ACTIONS))
 
@@ -90,15 +93,21 @@ def request_groups(pending: DataFrame, rules: ApprovalRules) -> DataFrame:
     queued = F.lit(False)
     for key in rules.queue_approvers:
         queued = queued | F.contains(F.col("approver"), F.lit(rules.tracked[key]))
-    return _keyed(pending).groupBy(*REQUEST_KEYS).agg(
+    groups = _keyed(pending).groupBy(*REQUEST_KEYS).agg(
         distinct_join(F.col("needed_on"), DIVIDER).alias("needed_by"),
         F.min(dates.needed_by_utc(F.col("needed_on"))).alias("needed_by_utc"),
         (F.min("needed_on") != F.max("needed_on")).alias("needed_by_conflict"),
-        *sets,
+        actors,
         *marks,
         F.when(ever((F.col("decision") == "Pending") & queued), "VP").otherwise("Pre-VP").alias("queue"),
     )
 
+    def people(action: str) -> Column:
+        taken = F.filter("_actors", lambda x: x["decision"] == action)
+        return F.array_sort(F.transform(taken, lambda x: x["approver"]))
+
+    return groups.withColumns({column: people(a) for a, column in ACTION_COLUMNS.items()}).drop("_actors")
+
 
 def _as_text(columns: list[str]) -> dict[str, Column]:
     return {c: F.array_join(c, DIVIDER) for c in columns}
@@ -225,8 +234,8 @@ def approval_report(pending: DataFrame, rules: ApprovalRules, lazy: bool = False
     """The numbered report. Write it ordered by ``row_number``.
 
     Only what the order needs is worked out before the sort, which reads its
-    input twice (once to sample it); the rest follows on the numbered rows. That sort is
-    an action, unless ``lazy``: the plan then runs nothing by itself and reads more often.
+    input twice (once to sample it) and so gets it from a table; the rest follows on the
+    numbered rows. That sort is an action, unless ``lazy``: the plan then runs nothing by itself and reads more often.
     """
     requests = with_sort_facts(awaited_requests(pending, rules), rules).withColumn(
         "region_rank", titles.region_rank(F.col("region"), rules, REGION_RANK_FALLBACK)
@@ -234,5 +243,5 @@ def approval_report(pending: DataFrame, rules: ApprovalRules, lazy: bool = False
     if lazy:
         numbered = number_rows_lazily(requests, _LEADING, report_order()[len(_LEADING):], "row_number", "approval_id")
     else:
-        numbered = number_rows(requests, report_order(), "row_number")
+        numbered = number_rows(staged(requests), report_order(), "row_number")
     return _shown(numbered, rules).select("row_number", *_report_columns(rules))
