@@ -24,17 +24,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapledger.llm.shingles import mix
 from gapledger.llm.staging import staged
+from gapledger.llm.workers import slices
 
 LENGTH, GRAM = 200, 40
 #: Runs in one bucket's task, about 300 bytes each.
 BUCKET_RUNS = 8_000
 #: An anchor with more kinds of runs than this is grouped by digest.
 HOT_KINDS = 2_000
+#: Runs of whole anchors that are brought into order at a time, within a bucket's task.
+ORDERED_RUNS = 512
+#: Characters or bytes that a task turns into rows at a time.
+_SLICE = 1_000_000
 _CHUNK = 1 << 23
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15
@@ -138,26 +144,30 @@ def _stretches(marked: np.ndarray) -> list[tuple[int, int]]:
 _RUNS = "array<struct<a:long,c:long,low:int,high:int>>"
 
 
+def _lists(counts: list[int], values: pa.Array) -> pa.Array:
+    """``values`` as lists of so many each."""
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), values)
+
+
 def _anchors(texts: DataFrame, length: int) -> DataFrame:
     """``id, h, n_bytes, sha, runs`` of each text."""
-    kind = pa.struct([
-        ("n_bytes", pa.int64()), ("sha", pa.string()),
-        ("runs", pa.list_(pa.struct([("a", pa.int64()), ("c", pa.int64()), ("low", pa.int32()), ("high", pa.int32())]))),
-    ])
-
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = _Hasher()
         for batch in batches:
-            rows = []
-            for text in batch:
-                data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                a, c, low, high = anchor_runs(np.frombuffer(data, np.uint8), hasher, length)
-                runs = [
-                    {"a": w, "c": x, "low": y, "high": z}
-                    for w, x, y, z in zip(*(v.view(np.int64).tolist() for v in (a, c, low, high)), strict=True)
-                ]
-                rows.append({"n_bytes": len(data), "sha": hashlib.sha256(data).hexdigest(), "runs": runs})
-            yield pa.array(rows, kind)
+            for part in slices(batch, _SLICE):
+                n_bytes, sha, found = [], [], []
+                for text in part:
+                    data = text.encode("utf-8", "surrogatepass")
+                    n_bytes.append(len(data))
+                    sha.append(hashlib.sha256(data).hexdigest())
+                    found.append(anchor_runs(np.frombuffer(data, np.uint8), hasher, length))
+                a, c, low, high = (np.concatenate(x) for x in zip(*found, strict=True))
+                columns = a.view(np.int64), c.view(np.int64), low.astype(np.int32), high.astype(np.int32)
+                runs = pa.StructArray.from_arrays([pa.array(x) for x in columns], ["a", "c", "low", "high"])
+                listed = _lists([len(x[0]) for x in found], runs)
+                yield pa.StructArray.from_arrays(
+                    [pa.array(n_bytes, pa.int64()), pa.array(sha, pa.string()), listed], ["n_bytes", "sha", "runs"]
+                )
 
     find.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     made = F.arrow_udf(find, f"struct<n_bytes:long,sha:string,runs:{_RUNS}>").asNondeterministic()
@@ -166,32 +176,54 @@ def _anchors(texts: DataFrame, length: int) -> DataFrame:
 
 def _run_bytes(texts: DataFrame, length: int) -> DataFrame:
     """One row for each of ``runs``, with its ``bytes``."""
-    def cut(text: pa.Array, runs: pa.Array) -> pa.Array:
-        found = []
-        for t, of in zip(text, runs, strict=True):
-            data = (t.as_py() or "").encode("utf-8", "surrogatepass")
-            found.append([data[r["low"] : r["high"] + length] for r in of.as_py() or []])
-        return pa.array(found, pa.list_(pa.binary()))
-
-    cut.__annotations__ = {"text": pa.Array, "runs": pa.Array, "return": pa.Array}
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for text, runs in batches:
+            flat = runs.flatten()
+            low, high = flat.field("low").to_numpy(), flat.field("high").to_numpy()
+            own = pc.fill_null(pc.list_value_length(runs), 0).to_numpy()
+            ends = np.cumsum(own)
+            counts, found, size = [], [], 0
+            for t, count, end in zip(text, own.tolist(), ends.tolist(), strict=True):
+                data = (t.as_py() or "").encode("utf-8", "surrogatepass") if count else b""
+                spans = zip(low[end - count : end].tolist(), high[end - count : end].tolist(), strict=True)
+                found += [data[x : y + length] for x, y in spans]
+                counts.append(count)
+                size += sum(map(len, found[len(found) - count :]))
+                if size > _SLICE:
+                    yield _lists(counts, pa.array(found, pa.binary()))
+                    counts, found, size = [], [], 0
+            if counts:
+                yield _lists(counts, pa.array(found, pa.binary()))
+
+    cut.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
     pieces = F.arrow_udf(cut, "array<binary>").asNondeterministic()("text", "runs")
     rows = texts.select("id", "h", "runs", pieces.alias("pieces"))
     return rows.select("id", "h", F.inline(F.arrays_zip("runs", "pieces"))).select("id", "h", "runs.*", F.col("pieces").alias("bytes"))
 
 
+def anchor_portions(anchor: np.ndarray, runs: int = ORDERED_RUNS) -> list[tuple[int, int]]:
+    """Sorted anchors cut into stretches of about ``runs``, all of an anchor in one: other strings never agree."""
+    begins = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1], True])
+    cuts = [0]
+    while cuts[-1] < len(anchor):
+        cuts.append(int(begins[np.searchsorted(begins, min(cuts[-1] + runs, len(anchor)))]))
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
 def _bucket_spans(runs: DataFrame, buckets: int, keep_first: bool, length: int) -> DataFrame:
     def order(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("id", "ascending"), ("h", "ascending"), ("low", "ascending")])
-        low = table["low"].to_numpy()
-        run, offset, earlier, later = factors(table["bytes"].to_pylist(), length)
-        hit = earlier if keep_first else earlier | later
+        table = table.sort_by([(c, "ascending") for c in ("a", "id", "h", "low")])
+        low, anchor = table["low"].to_numpy(), table["a"].to_numpy()
         rows, starts, ends = [], [], []
-        bounds = np.searchsorted(run, np.arange(len(low) + 1))
-        for i in np.unique(run[hit]).tolist():
-            for s, e in _stretches(hit[bounds[i] : bounds[i + 1]]):
-                rows.append(i)
-                starts.append(int(low[i]) + s)
-                ends.append(int(low[i]) + e - 1 + length)
+        for first, stop in anchor_portions(anchor):
+            run, offset, earlier, later = factors(table["bytes"].slice(first, stop - first).to_pylist(), length)
+            hit = earlier if keep_first else earlier | later
+            bounds = np.searchsorted(run, np.arange(stop - first + 1))
+            for i in np.unique(run[hit]).tolist():
+                for s, e in _stretches(hit[bounds[i] : bounds[i + 1]]):
+                    rows.append(first + i)
+                    starts.append(int(low[first + i]) + s)
+                    ends.append(int(low[first + i]) + e - 1 + length)
         taken = table.select(["id", "h"]).take(pa.array(rows, pa.int64()))
         return taken.append_column("start", pa.array(starts, pa.int64())).append_column("end", pa.array(ends, pa.int64()))
 
@@ -205,10 +237,11 @@ def _hot_spans(runs: DataFrame, keep_first: bool, length: int) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            yield pa.array([
-                [xxhash.xxh3_128_digest(data[i : i + length]) for i in range(len(data) - length + 1)]
-                for data in batch.to_pylist()
-            ], pa.list_(pa.binary()))
+            for k in range(0, len(batch), ORDERED_RUNS):
+                yield pa.array([
+                    [xxhash.xxh3_128_digest(data[i : i + length]) for i in range(len(data) - length + 1)]
+                    for data in batch.slice(k, ORDERED_RUNS).to_pylist()
+                ], pa.list_(pa.binary()))
 
     digests.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     made = F.arrow_udf(digests, "array<binary>").asNondeterministic()("bytes")
@@ -228,25 +261,31 @@ _CUT = pa.struct([
 ])
 
 
-def _cut(text: pa.Array, spans: pa.Array) -> pa.Array:
-    rows = []
-    for t, of in zip(text, spans, strict=True):
-        data = (t.as_py() or "").encode("utf-8", "surrogatepass")
-        edges = np.zeros(len(data) + 1, np.int32)
-        for s in of.as_py() or []:
-            edges[s["start"]] += 1
-            edges[s["end"]] -= 1
-        gone = np.cumsum(edges[: len(data)]) > 0
-        merged = _stretches(gone)
-        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-        rows.append({
-            "n_removed": int(gone.sum()), "n_spans": len(merged), "sha": hashlib.sha256(kept).hexdigest(),
-            "spans": [{"start": s, "end": e} for s, e in merged],
-        })
-    return pa.array(rows, _CUT)
-
-
-_cut.__annotations__ = {"text": pa.Array, "spans": pa.Array, "return": pa.Array}
+def _cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for text, spans in batches:
+        rows, size = [], 0
+        for t, of in zip(text, spans, strict=True):
+            data = (t.as_py() or "").encode("utf-8", "surrogatepass")
+            edges = np.zeros(len(data) + 1, np.int32)
+            for s in of.as_py() or []:
+                edges[s["start"]] += 1
+                edges[s["end"]] -= 1
+            gone = np.cumsum(edges[: len(data)]) > 0
+            merged = _stretches(gone)
+            kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+            rows.append({
+                "n_removed": int(gone.sum()), "n_spans": len(merged), "sha": hashlib.sha256(kept).hexdigest(),
+                "spans": [{"start": s, "end": e} for s, e in merged],
+            })
+            size += len(data)
+            if size > _SLICE:
+                yield pa.array(rows, _CUT)
+                rows, size = [], 0
+        if rows:
+            yield pa.array(rows, _CUT)
+
+
+_cut.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
 
 
 def repeated_strings(

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gapledger.llm import near_dedup
+from gapledger.llm import near_dedup, suffix_dedup
 from gapledger.llm.staging import staged
 
 
@@ -52,3 +54,44 @@ def test_tiles_find_the_links_of_all_pairs():
                     label = [least if x == most else x for x in label]
         for tile in (1, 7, 1024):
             assert (near_dedup.tile_links(sets, one, other, 0.8, tile) == label).all()
+
+
+def test_portions_hold_whole_anchors():
+    anchor = np.repeat([1, 2, 5, 9], [3, 700, 2, 1])
+    assert suffix_dedup.anchor_portions(anchor, 4) == [(0, 703), (703, 706)]
+    assert suffix_dedup.anchor_portions(anchor, 2) == [(0, 3), (3, 703), (703, 705), (705, 706)]
+    assert suffix_dedup.anchor_portions(anchor[:0]) == []
+
+
+def test_a_bucket_is_ordered_in_bounded_memory(spark):
+    """A bucket's runs were brought into order at once, with some hundred bytes for each of theirs."""
+    rng = np.random.default_rng(2)
+    data = [rng.integers(97, 123, 300).astype(np.uint8).tobytes() for _ in range(4_000)]
+    rows = pa.table({
+        "id": np.arange(4_000), "h": np.zeros(4_000, np.int64), "a": np.arange(4_000) // 2,
+        "low": np.zeros(4_000, np.int32), "bytes": [data[i - i % 2] for i in range(4_000)],
+    })
+    kept = []
+
+    class Frame:
+        """Takes the function that Spark would call for each bucket."""
+
+        schema = spark.range(1).schema
+
+        def withColumn(self, *_):
+            return self
+
+        def groupBy(self, *_):
+            return self
+
+        def applyInArrow(self, order, _):
+            tracemalloc.start()
+            kept.append(order(rows))
+            kept.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+
+    suffix_dedup._bucket_spans(Frame(), 1, True, 200)
+    found, peak = kept
+    assert sorted(found["id"].to_pylist()) == list(range(1, 4_000, 2))
+    assert set(found["start"].to_pylist()) == {0} and set(found["end"].to_pylist()) == {300}
+    assert peak < 40e6
