@@ -26,7 +26,7 @@ from gapledger.llm.csr import ranges
 from gapledger.llm.dart_minhash import band_hashes, dart_signatures
 from gapledger.llm.embedding_dedup import joined_rows
 from gapledger.llm.shingles import WordReader, as_set, jaccard, shingles
-from gapledger.llm.staging import remove_table, staged
+from gapledger.llm.staging import in_few_files, remove_table, staged
 from gapledger.llm.text import free_name
 from gapledger.llm.workers import slices
 
@@ -248,6 +248,7 @@ def near_duplicate_classes(
     )
     known = texts.filter("id IS NOT NULL")
     sketches = staged(_sketches(known, bands, rows))
+    count = sketches.count()
     worded = sketches.filter("total > 0")
     first = worded.groupBy("digest").agg(F.min("id").alias("rep"))
     of = worded.select("id", "digest", "total", "bands").join(first, "digest")
@@ -256,19 +257,19 @@ def near_duplicate_classes(
     keyed = of.filter("id = rep").select(F.col("rep").alias("id"), "total", F.posexplode("bands").alias("band", "hash"))
     buckets = keyed.groupBy("band", "hash").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     buckets = buckets.filter("least <> most").select("band", "hash")
-    shared = staged(keyed.join(buckets, ["band", "hash"]))
-    nodes = staged(shared.select("id").distinct())
+    shared = staged(keyed.join(buckets, ["band", "hash"]), bands * count)
+    nodes = staged(shared.select("id").distinct(), count)
     sets = staged(_shingle_sets(known.join(nodes, "id")))
     labels = nodes.select("id", F.col("id").alias("label"))
-    enough = pairs_per_text * sketches.count()
+    enough = pairs_per_text * count
 
-    turn, before = 0, 0
+    turn, before, most = 0, 0, shared.count()
     held = shared.withColumn("label", F.col("id"))
     while True:
         sizes = held.groupBy("band", "hash", "label").agg(F.count(F.lit(1)).alias("n"))
         split = staged(sizes.groupBy("band", "hash").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count(F.lit(1)).alias("labels")
-        ).filter("labels > 1"))
+        ).filter("labels > 1"), most)
         open_pairs = split.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
         if not open_pairs:
             break
@@ -288,14 +289,15 @@ def near_duplicate_classes(
                 F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b"),
                 F.col("total").alias("total_a"), F.col("c.total").alias("total_b"),
             )
-            found = _links(pairs, sets, similarity)
-        links, former = staged(found), labels
-        labels = _merged(labels, links)
+            # Compared in many tasks, written by few.
+            found = _links(pairs, sets, similarity).repartition("a")
+        links, former = staged(found, most), labels
+        labels = _merged(labels, links, count)
         # A closed bucket stays closed, so the next round reads the open ones alone, which get
         # their labels once. What the round has staged goes before the next one stages as much.
         done = [links, split] + ([former, held] if turn else [shared])
         if not last:
-            held = staged(left.drop("label").join(labels, "id"))
+            held = staged(left.drop("label").join(labels, "id"), most)
         for table in done:
             remove_table(table)
         turn += 1
@@ -306,17 +308,18 @@ def near_duplicate_classes(
     classes = members.join(labels, "rep", "left").select("id", F.coalesce("label", "rep").alias("class_id"))
     lone = sketches.filter("total = 0").select("id", F.col("id").alias("class_id"))
     nameless = texts.filter("id IS NULL").select("id", F.col("id").alias("class_id"))
-    return classes.union(lone).union(nameless).withColumnRenamed("id", id_column)
+    return in_few_files(classes, count).union(lone).union(nameless).withColumnRenamed("id", id_column)
 
 
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` after the classes of linked ids have become one."""
+def _merged(labels: DataFrame, links: DataFrame, rows: int) -> DataFrame:
+    """``labels``, at most ``rows`` of them, after the classes of linked ids have become one."""
     of = lambda end: labels.select(F.col("id").alias(end), F.col("label").alias(f"label_{end}"))
     between = links.join(of("a"), "a").join(of("b"), "b").select(
         F.col("label_a").alias("a"), F.col("label_b").alias("b")
     )
-    joined = connected_components(between).select(F.col("node").alias("label"), F.col("label").alias("_to"))
-    return staged(labels.join(joined, "label", "left").select("id", F.coalesce("_to", "label").alias("label")))
+    joined = connected_components(between, links.count())
+    joined = joined.select(F.col("node").alias("label"), F.col("label").alias("_to"))
+    return staged(labels.join(joined, "label", "left").select("id", F.coalesce("_to", "label").alias("label")), rows)
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:

@@ -46,13 +46,29 @@ def remove_staged(spark: SparkSession) -> None:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def staged(df: DataFrame) -> DataFrame:
+#: Rows that are worth a file. Each is created, renamed and opened by itself; where Hadoop has no native
+#: library, the executor also starts three processes to set the rights of a file on a local folder.
+FILE_ROWS = 100_000
+
+
+def in_few_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has ``rows`` rows at most, in one partition for ``FILE_ROWS`` of them or for each core.
+
+    Partitions are only merged with others. Those of a large table are larger anyway and stay.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
+
+
+def staged(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df``, computed, written as a table of its own and read back.
 
     What was shuffled for it goes once the table stands. Otherwise it stays until the driver
     collects garbage, so that an operator of many steps holds the shuffles of all of them.
+    With ``rows``, how many it has at most, it is written in few files.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = in_few_files(df, rows)
     path = f"{staging_folder(spark)}/{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")

@@ -9,8 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gapledger.llm import near_dedup, suffix_dedup
-from gapledger.llm.staging import staged
+from gapledger.llm import components, near_dedup, suffix_dedup
+from gapledger.llm.staging import FILE_ROWS, in_few_files, staged
 
 
 def _shuffled(spark):
@@ -29,6 +29,39 @@ def test_a_staged_table_leaves_no_shuffle_files(spark):
     assert staged(frame).count() == frame.count() == staged(frame).count() == 7
 
 
+def test_few_rows_are_written_in_few_files(spark):
+    cores = spark.sparkContext.defaultParallelism
+    made = spark.range(0, 1000, 1, 50)
+    table = staged(made, 1000)
+    assert table.count() == 1000 and len(table.inputFiles()) <= cores
+    assert len(staged(made).inputFiles()) == 50
+    # Many rows keep their partitions, and none are added.
+    assert in_few_files(made, 50 * FILE_ROWS).rdd.getNumPartitions() == 50
+    assert in_few_files(made, 20 * FILE_ROWS + 1).rdd.getNumPartitions() == max(cores, 21)
+    assert in_few_files(spark.range(0, 10, 1, 2), 50 * FILE_ROWS).rdd.getNumPartitions() == 2
+
+
+def test_near_dedup_writes_its_rounds_in_few_files(spark, settings, monkeypatch):
+    """Each of some forty tables had a file for each shuffle partition, however few its rows."""
+    settings(spark__sql__shuffle__partitions="60", spark__sql__adaptive__coalescePartitions__enabled="false")
+    files = []
+
+    def counted(*of, **options):
+        table = staged(*of, **options)
+        files.append(len(table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(near_dedup, "staged", counted)
+    monkeypatch.setattr(components, "staged", counted)
+    words = [f"w{k}" for k in range(60)]
+    # Classes of 4 texts that differ in one word each; a class has words of its own.
+    rows = [(4 * c + k, " ".join([f"{w}x{c}" for w in words[:-1]] + [f"own{k}"])) for c in range(50) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    found = near_dedup.near_duplicate_classes(docs, pairs_per_text=0)
+    assert {r.doc_id: r.class_id for r in found.collect()} == {d: d - d % 4 for d, _ in rows}
+    assert len(files) > 8 and max(files) <= spark.sparkContext.defaultParallelism
+
+
 def test_members_of_a_bucket_for_one_block_stand_once(spark):
     held = spark.range(3_000).select(
         F.lit(1).alias("band"), F.lit(5).cast("long").alias("hash"), "id", F.lit(40).cast("long").alias("total")
